@@ -11,6 +11,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from costlake.functions.measures import xsum
+
 USAGE_LINE_TYPES = ("SavingsPlanCoveredUsage", "DiscountedUsage", "Usage")
 RESTATE_DAYS = 65
 
@@ -81,20 +83,18 @@ def bill(stage01: DataFrame, since_month: str) -> DataFrame:
         F.col("cost_without_edp"), F.col("public_cost"),
     )
     measures = ["cost", "usage", "unblended_cost", "net_unblended_cost", "cost_without_edp", "public_cost"]
-    daily = rows.groupBy(*BILL_DIMS, "date").agg(*[F.sum(m).alias(m) for m in measures])
+    # exact decimal sums at both levels, one cast to double at the end
+    daily = rows.groupBy(*BILL_DIMS, "date").agg(*[xsum(m).alias(m) for m in measures])
     monthly = daily.groupBy(*BILL_DIMS).agg(
-        F.sum("cost").alias("accrual_cost"),
-        F.sum("usage").alias("usage"),
-        F.sum("unblended_cost").alias("unblended_cost"),
-        F.sum("cost_without_edp").alias("cost_without_edp"),
+        *[F.sum(m).alias(m) for m in measures],
         F.count(F.lit(1)).cast("int").alias("days_in_month"),
-        F.sum("public_cost").alias("public_cost"),
-        F.sum("net_unblended_cost").alias("net_unblended_cost"),
     )
-    return monthly.select(*BILL_DIMS, "accrual_cost", "usage", "unblended_cost", "cost_without_edp",
-                          "days_in_month", "public_cost",
-                          (F.col("public_cost") - F.col("unblended_cost")).alias("total_savings"),
-                          "net_unblended_cost")
+    d = lambda m: F.col(m).cast("double")
+    return monthly.select(*BILL_DIMS, d("cost").alias("accrual_cost"), d("usage").alias("usage"),
+                          d("unblended_cost").alias("unblended_cost"), d("cost_without_edp").alias("cost_without_edp"),
+                          "days_in_month", d("public_cost").alias("public_cost"),
+                          (F.col("public_cost") - F.col("unblended_cost")).cast("double").alias("total_savings"),
+                          d("net_unblended_cost").alias("net_unblended_cost"))
 
 
 def bill_full(stage01: DataFrame, as_of: dt.date) -> DataFrame:

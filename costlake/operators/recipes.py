@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from costlake.functions.cleaning import nonblank
+from costlake.functions.measures import davg, dsum, exact
 
 
 def _days_before(as_of: dt.date, days: int) -> str:
@@ -25,7 +26,7 @@ def _days_before(as_of: dt.date, days: int) -> str:
 
 def bucket_spend(fact: DataFrame, as_of: dt.date, bucket: str = "Compute", days: int = 35) -> DataFrame:
     return (fact.where((F.col("date") >= _days_before(as_of, days)) & (F.col("pricing_bucket") == bucket))
-            .groupBy("date", "product_code").agg(F.sum("cost").alias("cost")))
+            .groupBy("date", "product_code").agg(dsum("cost").alias("cost")))
 
 
 # ---------------------------------------------------------------- G2-G4
@@ -34,7 +35,7 @@ def _storage_deltas(fact: DataFrame, as_of: dt.date, days: int = 95) -> DataFram
     daily = (fact.where((F.col("date") >= _days_before(as_of, days)) & (F.col("pricing_bucket") == "Storage")
                         & (F.col("product_code") == "AmazonS3"))
              .groupBy("date", F.col("resource_name").alias("s3_bucket"))
-             .agg(F.sum("storage_total_tb").alias("tb"), F.sum("cost").alias("cost")))
+             .agg(dsum("storage_total_tb").alias("tb"), dsum("cost").alias("cost")))
     w = Window.partitionBy("s3_bucket").orderBy("date")
     prev_date = F.lag("date").over(w)
     prev_tb = F.lag("tb").over(w)
@@ -46,14 +47,21 @@ def _storage_deltas(fact: DataFrame, as_of: dt.date, days: int = 95) -> DataFram
 
 
 def _storage_summary(deltas: DataFrame) -> DataFrame:
-    return deltas.groupBy("s3_bucket").agg(
-        F.avg("delta_tb").alias("avg_delta"),
-        F.avg("percent_delta").alias("avg_percent"),
+    g = deltas.groupBy("s3_bucket").agg(
+        davg("delta_tb").alias("avg_delta"),
+        davg("percent_delta").alias("avg_percent"),
         F.max_by("tb", "date").alias("total_tb"),
         F.max_by("cost", "date").alias("cost"),
-        F.stddev_samp("delta_tb").alias("stddev_delta"),
+        dsum("delta_tb").alias("_sx"),
+        dsum(F.col("delta_tb") * F.col("delta_tb")).alias("_sxx"),
+        F.count("delta_tb").cast("double").alias("_n"),
         F.percentile("delta_tb", 0.5).alias("median_delta"),
     )
+    # sample standard deviation from exact sums (reproducible, unlike a merged running moment)
+    var = F.try_divide(F.col("_sxx") - F.try_divide(F.col("_sx") * F.col("_sx"), F.col("_n")), F.col("_n") - 1)
+    return g.select("s3_bucket", "avg_delta", "avg_percent", "total_tb", "cost",
+                    F.when(F.col("_n") > 1, F.sqrt(F.greatest(var, F.lit(0.0)))).alias("stddev_delta"),
+                    "median_delta")
 
 
 def storage_growth(fact: DataFrame, as_of: dt.date, top: int = 50) -> DataFrame:
@@ -72,7 +80,7 @@ def storage_idle(fact: DataFrame, as_of: dt.date, max_growth: float = 0.0) -> Da
 
 def env_mapping(fact: DataFrame, env_map: DataFrame, tag: str = "tag_env") -> DataFrame:
     """Tag frequency with the curated clean value (``Unknown`` when unmapped)."""
-    freq = fact.groupBy(F.col(tag)).agg(F.count(F.lit(1)).alias("row_count"), F.sum("cost").alias("cost"))
+    freq = fact.groupBy(F.col(tag)).agg(F.count(F.lit(1)).alias("row_count"), dsum("cost").alias("cost"))
     m = F.broadcast(env_map.select(F.col("tag_env").alias("_raw"), F.col("environment")))
     return (freq.join(m, freq[tag] == F.col("_raw"), "left")
             .select(F.col(tag), F.coalesce(F.col("environment"), F.lit("Unknown")).alias("environment"),
@@ -81,7 +89,7 @@ def env_mapping(fact: DataFrame, env_map: DataFrame, tag: str = "tag_env") -> Da
 
 def system_mapping(fact: DataFrame, system_map: DataFrame) -> DataFrame:
     """Synthetic ``system`` tag: the mapped system, else the service itself."""
-    per = fact.groupBy("date_month", "tag_service").agg(F.sum("cost").alias("cost"))
+    per = fact.groupBy("date_month", "tag_service").agg(dsum("cost").alias("cost"))
     m = F.broadcast(system_map.select(F.col("tag_service").alias("_svc"), "tag_system"))
     return (per.join(m, per["tag_service"] == F.col("_svc"), "left")
             .select("date_month", F.col("tag_service").alias("service"),
@@ -101,23 +109,23 @@ def patch_service(rules: Sequence[tuple[str, bool, str, str, str]]):
 
 def tag_patch(fact: DataFrame, rules: Sequence[tuple[str, bool, str, str, str]]) -> DataFrame:
     return (fact.groupBy("date", patch_service(rules).alias("tag_service"))
-            .agg(F.sum("cost").alias("cost"), F.count(F.lit(1)).alias("row_count")))
+            .agg(dsum("cost").alias("cost"), F.count(F.lit(1)).alias("row_count")))
 
 
 # ---------------------------------------------------------------- G8-G10
 
 def invoice_summary(bill: DataFrame) -> DataFrame:
     return bill.groupBy("date_month", "invoice_id", "product_code", "bill_line").agg(
-        F.sum("unblended_cost").alias("cash_cost"),
-        F.sum("net_unblended_cost").alias("cash_cost_with_discounts"),
-        F.sum("accrual_cost").alias("accrual_cost"))
+        dsum("unblended_cost").alias("cash_cost"),
+        dsum("net_unblended_cost").alias("cash_cost_with_discounts"),
+        dsum("accrual_cost").alias("accrual_cost"))
 
 
 def tag_coverage(fact: DataFrame, tag: str = "tag_env") -> DataFrame:
     """Share of cost carrying a non-blank tag, per month and account."""
     g = fact.groupBy("date_month", "account_id").agg(
-        F.sum(F.when(nonblank(F.col(tag)).isNotNull(), F.col("cost")).otherwise(F.lit(0.0))).alias("tagged_cost"),
-        F.sum("cost").alias("total_cost"))
+        dsum(F.when(nonblank(F.col(tag)).isNotNull(), F.col("cost")).otherwise(F.lit(0.0))).alias("tagged_cost"),
+        dsum("cost").alias("total_cost"))
     return g.withColumn("coverage", F.try_divide(F.col("tagged_cost"), F.col("total_cost")))
 
 
@@ -130,7 +138,7 @@ def work_log_from_orders(orders: DataFrame) -> DataFrame:
 
 def unit_cost(fact: DataFrame, work_log: DataFrame) -> DataFrame:
     """Cost per transaction: equi-join of daily service cost and the work log."""
-    cost = fact.groupBy("date", F.col("tag_service").alias("service")).agg(F.sum("cost").alias("cost"))
+    cost = fact.groupBy("date", F.col("tag_service").alias("service")).agg(dsum("cost").alias("cost"))
     return (cost.join(work_log, ["date", "service"])
             .select("date", "service", "cost", "transactions",
                     F.try_divide(F.col("cost"), F.col("transactions").cast("double")).alias("cost_per_transaction")))
@@ -142,9 +150,9 @@ def hourly_usage(hourly01: DataFrame) -> DataFrame:
     """Instance-hours and vCPU-hours of compute per hour and product."""
     return (hourly01.where(F.col("pricing_bucket") == "Compute")
             .groupBy("hour", "product_code")
-            .agg(F.sum("usage").alias("instance_hours"),
-                 F.sum(F.col("usage") * F.col("compute_processor_vcpu")).alias("cpu_hours"),
-                 F.sum("cost").alias("cost")))
+            .agg(dsum("usage").alias("instance_hours"),
+                 dsum(F.col("usage") * F.col("compute_processor_vcpu")).alias("cpu_hours"),
+                 dsum("cost").alias("cost")))
 
 
 def base_load(hourly01: DataFrame, as_of: dt.date) -> DataFrame:
@@ -154,7 +162,7 @@ def base_load(hourly01: DataFrame, as_of: dt.date) -> DataFrame:
     minimum of 0; a calendar day with no rows at all is filled in with 0.
     """
     hourly = (hourly01.where(F.col("pricing_bucket") == "Compute")
-              .groupBy("date", "hour").agg(F.sum("cost").alias("cost")))
+              .groupBy("date", "hour").agg(dsum("cost").alias("cost")))
     daily = hourly.groupBy("date").agg(
         F.when(F.count(F.lit(1)) < 24, F.least(F.min("cost"), F.lit(0.0))).otherwise(F.min("cost")).alias("low_hour"),
         F.max("cost").alias("peak_hour"))
@@ -166,8 +174,8 @@ def base_load(hourly01: DataFrame, as_of: dt.date) -> DataFrame:
     cal = months.select("date_month", F.date_format("d", "yyyy-MM-dd").alias("date"))
     return (cal.join(daily, "date", "left")
             .groupBy("date_month")
-            .agg(F.avg(F.coalesce(F.col("low_hour"), F.lit(0.0))).alias("base_load_hourly_cost"),
-                 F.avg(F.coalesce(F.col("peak_hour"), F.lit(0.0))).alias("avg_peak_hourly_cost"),
+            .agg(davg(F.coalesce(F.col("low_hour"), F.lit(0.0))).alias("base_load_hourly_cost"),
+                 davg(F.coalesce(F.col("peak_hour"), F.lit(0.0))).alias("avg_peak_hourly_cost"),
                  F.count(F.lit(1)).alias("days")))
 
 
@@ -175,10 +183,10 @@ def base_load(hourly01: DataFrame, as_of: dt.date) -> DataFrame:
 
 def cost_ma7(fact: DataFrame) -> DataFrame:
     """7-calendar-day moving average of daily cost per pricing bucket (missing days are 0)."""
-    daily = fact.groupBy("pricing_bucket", "date").agg(F.sum("cost").alias("cost"))
+    daily = fact.groupBy("pricing_bucket", "date").agg(dsum("cost").alias("cost"))
     day_no = F.datediff(F.to_date("date"), F.lit("1970-01-01").cast("date"))
     w = Window.partitionBy("pricing_bucket").orderBy(day_no).rangeBetween(-6, 0)
-    return daily.select("pricing_bucket", "date", "cost", (F.sum("cost").over(w) / 7).alias("cost_ma7"))
+    return daily.select("pricing_bucket", "date", "cost", (F.sum(exact("cost")).over(w).cast("double") / 7).alias("cost_ma7"))
 
 
 def growth_alerts(fact: DataFrame, as_of: dt.date, window_days: int = 14, inflection: float = 0.5) -> DataFrame:
@@ -190,14 +198,14 @@ def growth_alerts(fact: DataFrame, as_of: dt.date, window_days: int = 14, inflec
     mid = _days_before(as_of, window_days)
     daily = (fact.where((F.col("pricing_bucket") == "Storage") & (F.col("date") > since))
              .groupBy(F.coalesce(F.col("storage_class"), F.lit("(none)")).alias("storage_class"), "date")
-             .agg(F.sum("storage_total_tb").alias("tb")))
+             .agg(dsum("storage_total_tb").alias("tb")))
     w = Window.partitionBy("storage_class").orderBy("date")
     d = (daily.select("storage_class", "date", "tb", F.lag("date").over(w).alias("pd"), F.lag("tb").over(w).alias("ptb"))
          .where(F.datediff(F.to_date("date"), F.to_date("pd")) == 1)
          .select("storage_class", "date", (F.col("tb") - F.col("ptb")).alias("delta_tb")))
     g = d.groupBy("storage_class").agg(
-        F.avg(F.when(F.col("date") > mid, F.col("delta_tb"))).alias("recent_delta"),
-        F.avg(F.when(F.col("date") <= mid, F.col("delta_tb"))).alias("prior_delta"))
+        davg(F.when(F.col("date") > mid, F.col("delta_tb"))).alias("recent_delta"),
+        davg(F.when(F.col("date") <= mid, F.col("delta_tb"))).alias("prior_delta"))
     r, p = F.col("recent_delta"), F.col("prior_delta")
     alert = (F.when((p > 0) & (r <= 0), F.lit("growth_stopped"))
              .when((r > 0) & (p > 0) & (r > p * (1 + inflection)), F.lit("inflection_up"))
@@ -229,10 +237,10 @@ def driver_projection(fact: DataFrame, driver_map: DataFrame, units: DataFrame,
     """
     first_hist = F.lit(as_of.strftime("%Y-%m"))
     cost = (fact.join(F.broadcast(driver_map), "tag_service")
-            .groupBy("driver", "date_month").agg(F.sum("cost").alias("cost")))
+            .groupBy("driver", "date_month").agg(dsum("cost").alias("cost")))
     hist = (cost.join(units, ["driver", "date_month"])
             .where((F.col("date_month") < first_hist) & (F.col("date_month") >= _month_add(first_hist, -history_months)))
-            .groupBy("driver").agg(F.try_divide(F.sum("cost"), F.sum("units")).alias("cost_per_unit")))
+            .groupBy("driver").agg(F.try_divide(dsum("cost"), dsum("units")).alias("cost_per_unit")))
     months = F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("k")
     fut = (hist.select("driver", "cost_per_unit", months)
            .select("driver", "cost_per_unit", _month_add(first_hist, 0).alias("base"), "k")
@@ -251,7 +259,7 @@ def growth_projection(fact: DataFrame, as_of: dt.date, lookback: int = 6, horizo
     cost(base + n) = cost(base) * (1 + g)^n. The back-test starts twelve months earlier
     and carries the actual cost of each projected month.
     """
-    monthly = fact.groupBy("pricing_bucket", "date_month").agg(F.sum("cost").alias("cost"))
+    monthly = fact.groupBy("pricing_bucket", "date_month").agg(dsum("cost").alias("cost"))
     base = (as_of.replace(day=1) - dt.timedelta(days=1)).strftime("%Y-%m")     # last complete month
     rows = []
     for kind, shift in (("forecast", 0), ("backtest", -horizon)):
@@ -282,14 +290,14 @@ def reconcile(cur_billable: DataFrame, cur_all: DataFrame, bill: DataFrame, sinc
         return F.date_format(F.to_date(ts), "yyyy-MM")
 
     src = (cur_billable.groupBy(month("line_item_usage_start_date").alias("date_month"))
-           .agg(F.sum("line_item_unblended_cost").cast("double").alias("source_unblended"),
+           .agg(dsum("line_item_unblended_cost").cast("double").alias("source_unblended"),
                 F.count(F.lit(1)).alias("source_lines")))
     lt = F.col("line_item_line_item_type")
     rate = F.col("pricing_public_on_demand_rate")
     dropped = (cur_all.groupBy(month("line_item_usage_start_date").alias("date_month"))
                .agg(F.sum(F.when((lt == "Usage") & (rate == "0.0000000000"), 1).otherwise(0)).alias("dropped_free_lines"),
                     F.sum(F.when((lt == "Usage") & rate.isNull(), 1).otherwise(0)).alias("dropped_null_rate_lines")))
-    b = bill.groupBy("date_month").agg(F.sum("unblended_cost").alias("bill_unblended"))
+    b = bill.groupBy("date_month").agg(dsum("unblended_cost").alias("bill_unblended"))
     j = (src.join(b, "date_month", "full_outer").join(dropped, "date_month", "left")
          .where(F.col("date_month") >= since_month))
     diff = F.coalesce(F.col("bill_unblended"), F.lit(0.0)) - F.coalesce(F.col("source_unblended"), F.lit(0.0))

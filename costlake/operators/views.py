@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from costlake.functions.measures import dsum
 from costlake.operators.enrich import DAYS_PER_MONTH
 
 # ---------------------------------------------------------------- discount iceberg (V1-V6)
@@ -25,16 +26,16 @@ USAGE_TYPES = ("SavingsPlanCoveredUsage", "DiscountedUsage", "Usage")
 def discount_iceberg(bill: DataFrame, sort: bool = False) -> DataFrame:
     aws = bill.where(F.col("billing_entity") == "AWS")
     charged = aws.groupBy(*ICEBERG_KEYS).agg(
-        F.sum("accrual_cost").alias("accrual_cost"), F.sum("unblended_cost").alias("unblended_cost"),
-        F.sum("public_cost").alias("public_cost"))
+        dsum("accrual_cost").alias("accrual_cost"), dsum("unblended_cost").alias("unblended_cost"),
+        dsum("public_cost").alias("public_cost"))
     lt = F.col("line_item_type")
     # RI savings as negative rows; EDP applies after the RI, so add it back (no double count)
     ri = (aws.where(lt.isin("DiscountedUsage", "RiVolumeDiscount"))
           .groupBy("date_month", "pricing_bucket", "billing_entity", "product_code", "product_description")
-          .agg(F.sum("accrual_cost").alias("accrual_cost"),
-               F.sum(F.when(lt == "DiscountedUsage", -(F.col("public_cost") - F.col("cost_without_edp")))
-                     .otherwise(F.col("unblended_cost"))).alias("unblended_cost"),
-               F.sum("public_cost").alias("public_cost"))
+          .agg(dsum("accrual_cost").alias("accrual_cost"),
+               dsum(F.when(lt == "DiscountedUsage", -(F.col("public_cost") - F.col("cost_without_edp")))
+                    .otherwise(F.col("unblended_cost"))).alias("unblended_cost"),
+               dsum("public_cost").alias("public_cost"))
           .withColumn("bill_line", F.lit("Reserved Instances"))
           .withColumn("line_item_type", F.lit("RiDiscount")))
     # the two sides cannot share a row (line_item_type differs), so a plain union is the set union
@@ -56,11 +57,11 @@ def discount_iceberg(bill: DataFrame, sort: bool = False) -> DataFrame:
     final = (calced.withColumn("iceberg_type", F.when(F.col("iceberg_cost") >= 0, F.lit("Net Charges"))
                                .otherwise(F.lit("Discounts")))
              .groupBy("date_month", "iceberg_bill_line", "product_code", "product_description", "iceberg_type")
-             .agg(F.sum("iceberg_cost").alias("iceberg_cost"))
+             .agg(dsum("iceberg_cost").alias("iceberg_cost"))
              .where(F.col("iceberg_cost") != 0))
     # whole-partition sums as tiny aggregates (months x 2 rows) joined back by broadcast
-    per_type = final.groupBy("date_month", "iceberg_type").agg(F.sum("iceberg_cost").alias("type_total"))
-    per_month = final.groupBy("date_month").agg(F.sum(F.abs("iceberg_cost")).alias("month_total"))
+    per_type = final.groupBy("date_month", "iceberg_type").agg(dsum("iceberg_cost").alias("type_total"))
+    per_month = final.groupBy("date_month").agg(dsum(F.abs("iceberg_cost")).alias("month_total"))
     out = (final.join(F.broadcast(per_type), ["date_month", "iceberg_type"])
            .join(F.broadcast(per_month), ["date_month"])
            .select("date_month", "iceberg_bill_line", "product_code", "product_description", "iceberg_type",
@@ -96,9 +97,9 @@ def cpu_ratecard(fact: DataFrame, as_of: dt.date, approx_accuracy: int | None =
         "compute_os", "compute_software", "compute_instance_type_family", "pricing_regime",
         F.coalesce(F.col("compute_processor_vendor"), F.lit("Unknown")).alias("compute_processor_vendor"),
     ).agg(
-        F.sum("usage").alias("instance_hours"),
-        F.sum("cost").alias("cost"),
-        F.sum(F.col("usage") * F.col("compute_processor_vcpu")).alias("cpu_hours"),
+        dsum("usage").alias("instance_hours"),
+        dsum("cost").alias("cost"),
+        dsum(F.col("usage") * F.col("compute_processor_vcpu")).alias("cpu_hours"),
         pct.alias("_pct"),
     )
     rate = F.try_divide(F.col("cost"), F.col("cpu_hours"))
@@ -134,7 +135,7 @@ def buying_efficiency(fact: DataFrame, options: DataFrame, as_of: dt.date, sort:
     rows = fact.where((F.col("date") >= months_back_text(as_of, 3)) & (F.col("pricing_regime") == "OnDemand"))
     out = (rows.join(F.broadcast(opts), ["product_code", "pricing_bucket"])
            .groupBy("date_month", "product_code", "pricing_regime", "pricing_bucket", "pricing_unit", "buy_options")
-           .agg(F.sum("cost").alias("_cost"))
+           .agg(dsum("cost").alias("_cost"))
            # the warehouse rounds double -> int, Spark truncates: round first (half-even, as rint)
            .select("date_month", "product_code", "pricing_regime", "pricing_bucket", "pricing_unit", "buy_options",
                    F.rint("_cost").cast("int").alias("cost")))
@@ -169,17 +170,18 @@ def wow_cost_movers(fact: DataFrame, as_of: dt.date, fixed: bool = False, dims:
         x = x.where(F.col("date") <= F.date_format("pivot", "yyyy-MM-dd"))
     x = x.withColumn("weeks_back", F.expr("datediff(pivot, to_date(date)) div 7"))
     per_day = x.groupBy("date", "weeks_back", "pivot", *dims).agg(
-        F.sum("cost").alias("cost"), F.sum("cost_mrr").alias("cost_mrr"), F.sum("usage").alias("usage"))
+        dsum("cost").alias("cost"), dsum("cost_mrr").alias("cost_mrr"), dsum("usage").alias("usage"))
     per_week = per_day.groupBy(
         F.date_format(F.date_sub("pivot", F.col("weeks_back").cast("int") * 7), "yyyy-MM-dd").alias("week_of"),
         F.date_format("pivot", "yyyy-MM-dd").alias("current_week"), "weeks_back", *dims,
-    ).agg(F.countDistinct("date").alias("num_days"), (F.sum("cost") / 7).alias("avg_cost_daily"),
-          (F.sum("usage") / 7).alias("avg_usage_daily"))
+    ).agg(F.countDistinct("date").alias("num_days"), (dsum("cost") / 7).alias("avg_cost_daily"),
+          (dsum("usage") / 7).alias("avg_usage_daily"))
     wb = F.col("weeks_back")
     other = F.lit(None).cast("double") if fixed else F.lit(0.0)
 
     def wavg(cond):
-        return F.avg(F.when(cond, F.col("avg_cost_daily")).otherwise(other))
+        x = F.when(cond, F.col("avg_cost_daily")).otherwise(other)
+        return F.try_divide(dsum(x), F.count(x).cast("double"))
 
     cons = per_week.groupBy("current_week", *dims).agg(
         wavg(wb == 0).alias("current_avg_cost"),
