@@ -61,3 +61,33 @@ def fixture_pipeline(spark: SparkSession, sf_dir: str, tags: Mapping[str, str] |
                      as_of: dt.date = AS_OF, grain: str = "day") -> Pipeline:
     """Pipeline over the lineitem-derived CUR of a test-data folder."""
     return Pipeline(spark, cur_from_lineitem(spark, sf_dir, as_of), as_of, tags=dict(tags or {}), grain=grain)
+
+
+# ---------------------------------------------------------------- builds (the published run order)
+
+def build_full(p: Pipeline, usage_path: str, bill_path: str) -> None:
+    """Full build: stage 01 once (materialised), then both facts from it."""
+    from costlake.plans.sinks import full_load, materialize
+
+    s01 = materialize(p.stage01(), "stage01")
+    full_load(facts.usage_daily(s01, p.as_of), usage_path, "date")
+    full_load(facts.bill_full(s01, p.as_of), bill_path, "date_month")
+
+
+def build_incremental(p: Pipeline, usage_path: str, bill_path: str, days: int = facts.RESTATE_DAYS) -> dict:
+    """Daily increment (S6, S7): restate the trailing window of both facts.
+
+    Only the CUR months the window touches are read (partition filter on year/month); the
+    bill restates whole months from the month of ``as_of - days``.
+    """
+    from costlake.plans.sinks import materialize, restate
+    from costlake.sources.contract import months_back, restatement_months
+
+    cur = months_back(p.cur, p.as_of, restatement_months(p.as_of, days))
+    window = Pipeline(p.spark, cur, p.as_of, p.dims, p.tags, p.grain)
+    s01 = materialize(window.stage01(), "stage01-window")
+    dropped_days = restate(facts.usage_incremental(s01, p.as_of, days), usage_path, "date",
+                           facts.restate_start(p.as_of, days))
+    dropped_months = restate(facts.bill(s01, facts.bill_restate_month(p.as_of, days)), bill_path, "date_month",
+                             facts.bill_restate_month(p.as_of, days))
+    return {"dropped_days": dropped_days, "dropped_months": dropped_months}

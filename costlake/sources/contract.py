@@ -67,6 +67,20 @@ def conform(cur: DataFrame, tag_columns: list[str] | tuple[str, ...] = ()) -> Da
     return cur.select(*cols)
 
 
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Spread a source that scans into fewer partitions than the session has cores.
+
+    A CUR drop on a cluster is many files and row groups, so its scan is already wide and
+    this is a no-op. A single-row-group file (tests, small accounts) would otherwise run all
+    of the per-line cleaning in one task; a round-robin repartition of the pruned scan
+    spreads it. Only planning is needed to decide (no job runs).
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def _month_start(d: dt.date, back: int) -> dt.date:
     y, m = d.year, d.month - back
     while m <= 0:

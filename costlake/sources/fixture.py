@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from costlake.sources.contract import spread_small_input
+
 MONEY = "decimal(24,10)"
 AS_OF = dt.date(2001, 7, 31)   # last day with dense lineitem data
 N_TEMPLATES = 32
@@ -153,9 +155,16 @@ TEMPLATE_SCHEMA = T.StructType(
 ENV_TAGS = ["prod", "production", "prd", "oldprod", "dev", "devel", "", None]
 
 
+_TEMPLATE_CACHE: dict[int, tuple[SparkSession, DataFrame]] = {}
+
+
 def templates(spark: SparkSession) -> DataFrame:
     assert len(TEMPLATES) == N_TEMPLATES
-    return spark.createDataFrame(TEMPLATES, TEMPLATE_SCHEMA)
+    hit = _TEMPLATE_CACHE.get(id(spark))
+    if hit is None or hit[0] is not spark:
+        hit = (spark, spark.createDataFrame(TEMPLATES, TEMPLATE_SCHEMA))
+        _TEMPLATE_CACHE[id(spark)] = hit
+    return hit[1]
 
 
 def _dec(value: str, ty: str) -> Column:
@@ -170,6 +179,8 @@ def cur_from_lineitem(spark: SparkSession, sf_dir: str, as_of: dt.date = AS_OF)
 
 def cur_from_lineitem_df(spark: SparkSession, li: DataFrame, as_of: dt.date = AS_OF) -> DataFrame:
     end = as_of + dt.timedelta(days=1)
+    li = spread_small_input(li.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
+                                      "l_extendedprice", "l_discount", "l_shipdate"))
     li = li.where(F.col("l_shipdate") < F.lit(end.isoformat()).cast("timestamp_ntz")).withColumn(
         "tid", ((F.col("l_orderkey") * 7 + F.col("l_linenumber") + F.col("l_suppkey")) % N_TEMPLATES).cast("int")
     )
