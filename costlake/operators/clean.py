@@ -60,13 +60,15 @@ def billable(cur: DataFrame) -> DataFrame:
 
 
 def clean(cur: DataFrame, tags: Mapping[str, str] | None = None,
-          resource_tag_fallbacks: Sequence[str] = (), grain: str = "day") -> DataFrame:
+          resource_tag_fallbacks: Sequence[str] = (), grain: str = "day",
+          keep_units: DataFrame | None = None) -> DataFrame:
     """Stage 00 over raw CUR.
 
     ``tags`` maps output names to CUR tag columns that become extra dimensions (the
     "site-specific tags"); ``resource_tag_fallbacks`` are tag columns that name the group
     an instance or volume belongs to. ``grain="hour"`` adds an ``hour`` key
-    (``yyyy-MM-dd HH``) for intraday analysis.
+    (``yyyy-MM-dd HH``) for intraday analysis. ``keep_units`` (a small frame with a
+    ``pricing_unit`` column) keeps only lines with those cleaned units, before the shuffle.
     """
     if grain not in ("day", "hour"):
         raise ValueError(f"grain must be 'day' or 'hour', not {grain!r}")
@@ -136,6 +138,9 @@ def clean(cur: DataFrame, tags: Mapping[str, str] | None = None,
         c("pricing_public_on_demand_cost").alias("_public"),
     )
 
+    if keep_units is not None:
+        cleaned = cleaned.join(F.broadcast(keep_units.select("pricing_unit").distinct()), "pricing_unit", "left_semi")
+
     def dsum(name: str):
         return F.sum(name).cast("double")
 

@@ -159,24 +159,22 @@ def base_load(hourly01: DataFrame, as_of: dt.date) -> DataFrame:
     """Savings-plan base load: per month, the mean over days of the cheapest compute hour.
 
     An hour without compute rows costs 0, so a day with fewer than 24 busy hours has a
-    minimum of 0; a calendar day with no rows at all is filled in with 0.
+    minimum of 0; a calendar day with no rows adds 0 to the sum. The mean divides by the
+    calendar days of the month (up to ``as_of``), so no calendar table is needed and the
+    data is read once.
     """
     hourly = (hourly01.where(F.col("pricing_bucket") == "Compute")
               .groupBy("date", "hour").agg(dsum("cost").alias("cost")))
     daily = hourly.groupBy("date").agg(
         F.when(F.count(F.lit(1)) < 24, F.least(F.min("cost"), F.lit(0.0))).otherwise(F.min("cost")).alias("low_hour"),
         F.max("cost").alias("peak_hour"))
-    months = (hourly.select(F.substring("date", 1, 7).alias("date_month")).distinct()
-              .select("date_month",
-                      F.explode(F.sequence(F.to_date(F.concat("date_month", F.lit("-01"))),
-                                           F.least(F.last_day(F.to_date(F.concat("date_month", F.lit("-01")))),
-                                                   F.lit(as_of.isoformat()).cast("date")))).alias("d")))
-    cal = months.select("date_month", F.date_format("d", "yyyy-MM-dd").alias("date"))
-    return (cal.join(daily, "date", "left")
-            .groupBy("date_month")
-            .agg(davg(F.coalesce(F.col("low_hour"), F.lit(0.0))).alias("base_load_hourly_cost"),
-                 davg(F.coalesce(F.col("peak_hour"), F.lit(0.0))).alias("avg_peak_hourly_cost"),
-                 F.count(F.lit(1)).alias("days")))
+    first = F.to_date(F.concat(F.col("date_month"), F.lit("-01")))
+    last = F.least(F.last_day(first), F.lit(as_of.isoformat()).cast("date"))
+    days = (F.datediff(last, first) + 1).cast("double")
+    return (daily.groupBy(F.substring("date", 1, 7).alias("date_month"))
+            .agg(dsum("low_hour").alias("_low"), dsum("peak_hour").alias("_peak"))
+            .select("date_month", (F.col("_low") / days).alias("base_load_hourly_cost"),
+                    (F.col("_peak") / days).alias("avg_peak_hourly_cost"), days.cast("long").alias("days")))
 
 
 # ---------------------------------------------------------------- G12, G14

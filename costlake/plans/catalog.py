@@ -63,11 +63,11 @@ def q_discount_iceberg(spark, sf_dir):
 
 
 def q_cpu_ratecard(spark, sf_dir):
-    return views.cpu_ratecard(_p(spark, sf_dir).usage_daily(), AS_OF)
+    return views.cpu_ratecard(_p(spark, sf_dir).only("Compute").usage_daily(), AS_OF)
 
 
 def q_cpu_ratecard_approx(spark, sf_dir):
-    return views.cpu_ratecard(_p(spark, sf_dir).usage_daily(), AS_OF, approx_accuracy=10000)
+    return views.cpu_ratecard(_p(spark, sf_dir).only("Compute").usage_daily(), AS_OF, approx_accuracy=10000)
 
 
 def q_buying_efficiency(spark, sf_dir):
@@ -84,15 +84,15 @@ def q_wow_cost_movers_fixed(spark, sf_dir):
 
 
 def q_bucket_spend(spark, sf_dir):
-    return recipes.bucket_spend(_p(spark, sf_dir).usage_daily(), AS_OF)
+    return recipes.bucket_spend(_p(spark, sf_dir).only("Compute").usage_daily(), AS_OF)
 
 
 def q_storage_growth(spark, sf_dir):
-    return recipes.storage_growth(_p(spark, sf_dir).usage_daily(), AS_OF)
+    return recipes.storage_growth(_p(spark, sf_dir).only("Storage").usage_daily(), AS_OF)
 
 
 def q_storage_idle(spark, sf_dir):
-    return recipes.storage_idle(_p(spark, sf_dir).usage_daily(), AS_OF)
+    return recipes.storage_idle(_p(spark, sf_dir).only("Storage").usage_daily(), AS_OF)
 
 
 def _tagged_fact(spark, sf_dir):
@@ -127,7 +127,7 @@ def q_unit_cost(spark, sf_dir):
 
 
 def q_hourly_usage(spark, sf_dir):
-    return recipes.hourly_usage(_p(spark, sf_dir, grain="hour").stage01())
+    return recipes.hourly_usage(_p(spark, sf_dir, grain="hour").only("Compute").stage01())
 
 
 def q_cost_ma7(spark, sf_dir):
@@ -135,11 +135,11 @@ def q_cost_ma7(spark, sf_dir):
 
 
 def q_base_load(spark, sf_dir):
-    return recipes.base_load(_p(spark, sf_dir, grain="hour").stage01(), AS_OF)
+    return recipes.base_load(_p(spark, sf_dir, grain="hour").only("Compute").stage01(), AS_OF)
 
 
 def q_growth_alerts(spark, sf_dir):
-    return recipes.growth_alerts(_p(spark, sf_dir).usage_daily(), AS_OF)
+    return recipes.growth_alerts(_p(spark, sf_dir).only("Storage").usage_daily(), AS_OF)
 
 
 def q_driver_projection(spark, sf_dir):

@@ -12,6 +12,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from costlake.operators import facts
 from costlake.operators.clean import clean
@@ -32,13 +33,22 @@ class Pipeline:
     dims: Dims | None = None
     tags: Mapping[str, str] = field(default_factory=dict)
     grain: str = "day"
+    buckets: tuple[str, ...] = ()
 
     def __post_init__(self):
         if self.dims is None:
             self.dims = load_dims(self.spark)
 
     def stage00(self) -> DataFrame:
-        return clean(self.cur, self.tags, grain=self.grain)
+        units = None
+        if self.buckets:
+            # only lines whose unit maps to the wanted buckets, dropped per line before the shuffle
+            units = self.dims.buckets.df.where(F.col("pricing_bucket").isin(*self.buckets)).select("pricing_unit")
+        return clean(self.cur, self.tags, grain=self.grain, keep_units=units)
+
+    def only(self, *buckets: str) -> "Pipeline":
+        """The same pipeline restricted to lines of the given pricing buckets."""
+        return Pipeline(self.spark, self.cur, self.as_of, self.dims, self.tags, self.grain, tuple(buckets))
 
     def stage01(self) -> DataFrame:
         carry = list(self.tags) + (["hour"] if self.grain == "hour" else [])
@@ -84,7 +94,7 @@ def build_incremental(p: Pipeline, usage_path: str, bill_path: str, days: int =
     from costlake.sources.contract import months_back, restatement_months
 
     cur = months_back(p.cur, p.as_of, restatement_months(p.as_of, days))
-    window = Pipeline(p.spark, cur, p.as_of, p.dims, p.tags, p.grain)
+    window = Pipeline(p.spark, cur, p.as_of, p.dims, p.tags, p.grain, p.buckets)
     s01 = materialize(window.stage01(), "stage01-window")
     dropped_days = restate(facts.usage_incremental(s01, p.as_of, days), usage_path, "date",
                            facts.restate_start(p.as_of, days))
