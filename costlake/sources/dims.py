@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 # a dimension broadcast must stay below this many rows; larger ones take a shuffled join
-BROADCAST_ROW_LIMIT = 2_000_000
+BROADCAST_ROW_LIMIT = 500_000
 
 _S = T.StringType()
 SCHEMAS = {
