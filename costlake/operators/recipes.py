@@ -250,6 +250,11 @@ def driver_projection(fact: DataFrame, driver_map: DataFrame, units: DataFrame,
                     (F.col("cost_per_unit") * F.col("forecast_units")).alias("projected_cost")))
 
 
+def _compound(growth, n):
+    """(1 + growth)^n as n ordered multiplications (reproducible, unlike a library pow)."""
+    return F.aggregate(F.sequence(F.lit(1), n), F.lit(1.0), lambda acc, _: acc * (F.lit(1.0) + growth))
+
+
 def growth_projection(fact: DataFrame, as_of: dt.date, lookback: int = 6, horizon: int = 12) -> DataFrame:
     """Compounding projection per pricing bucket, plus a back-test one year earlier.
 
@@ -272,7 +277,7 @@ def growth_projection(fact: DataFrame, as_of: dt.date, lookback: int = 6, horizo
         proj = (g.select("*", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("n"))
                 .select(F.lit(kind).alias("kind"), "pricing_bucket", "base_month", "growth", "n",
                         F.date_format(F.add_months(F.to_date(F.concat("base_month", F.lit("-01"))), F.col("n")), "yyyy-MM").alias("date_month"),
-                        (F.col("base_cost") * F.pow(F.lit(1.0) + F.col("growth"), F.col("n"))).alias("projected_cost")))
+                        (F.col("base_cost") * _compound(F.col("growth"), F.col("n"))).alias("projected_cost")))
         rows.append(proj)
     proj = rows[0].unionByName(rows[1])
     actual = monthly.select("pricing_bucket", "date_month", F.col("cost").alias("actual_cost"))
