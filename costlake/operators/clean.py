@@ -37,7 +37,7 @@ LINE_KEYS = [
 ]
 
 STAGE00_DIMS = [
-    "year", "month", "date", "date_week", "date_month", "day_of_week", "cloudstats_version", "account_id",
+    "year", "month", "date", "date_week", "date_month", "day_of_week", "etl_version", "account_id",
     "billing_entity", "legal_entity", "invoice_id", "resource_name", "line_item_type", "usage_type",
     "usage_type_orig", "region_code", "location", "operation", "currency_code", "product_code", "product_name",
     "product_family", "product_group", "product_servicecode", "pricing_unit", "pricing_unit_orig",
@@ -161,7 +161,7 @@ def clean(cur: DataFrame, tags: Mapping[str, str] | None = None,
         "date_week": fx.week_text(c("date")),
         "date_month": fx.month_text(c("date")),
         "day_of_week": fx.day_of_week(c("date")),
-        "cloudstats_version": F.lit(VERSION),
+        "etl_version": F.lit(VERSION),
         "usage_type": fx.usage_type(c("usage_type_orig")),
         "compute_processor_vendor": fx.processor_vendor(c("compute_processor_name")),
         "compute_processor_line": fx.processor_line(c("compute_processor_name")),

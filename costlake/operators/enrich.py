@@ -18,7 +18,7 @@ DAYS_PER_MONTH = 30.4375   # 365.25 / 12
 DATA_TRANSFER_PRODUCTS = ("AWSELB", "AmazonEC2", "AmazonApiGateway", "AmazonECR")
 
 STAGE01_COLUMNS = [
-    "year", "month", "date_month", "day_of_week", "cloudstats_version", "account_id", "account_name",
+    "year", "month", "date_month", "day_of_week", "etl_version", "account_id", "account_name",
     "account_display_name", "billing_entity", "legal_entity", "invoice_id", "resource_name", "line_item_type",
     "usage_type", "usage_type_prefix", "region_code", "location", "operation", "currency_code", "pricing_bucket",
     "product_code", "product_name", "bill_product_code", "bill_product_name", "product_family", "product_group",
