@@ -61,8 +61,7 @@ def usage_incremental(stage01: DataFrame, as_of: dt.date, days: int = RESTATE_DA
 def bill(stage01: DataFrame, since_month: str) -> DataFrame:
     """Monthly bill over all line types, months ``since_month`` or later.
 
-    ``days_in_month`` is ``count(distinct date)``: a first aggregate by (bill dims, date)
-    then a second by the bill dims. Both levels combine map-side, so a hot group never
+    Money is summed exactly; partial aggregation combines map-side, so a hot group never
     travels whole to one task.
     """
     lt = F.col("line_item_type")
@@ -83,11 +82,11 @@ def bill(stage01: DataFrame, since_month: str) -> DataFrame:
         F.col("cost_without_edp"), F.col("public_cost"),
     )
     measures = ["cost", "usage", "unblended_cost", "net_unblended_cost", "cost_without_edp", "public_cost"]
-    # exact decimal sums at both levels, one cast to double at the end
-    daily = rows.groupBy(*BILL_DIMS, "date").agg(*[xsum(m).alias(m) for m in measures])
-    monthly = daily.groupBy(*BILL_DIMS).agg(
-        *[F.sum(m).alias(m) for m in measures],
-        F.count(F.lit(1)).cast("int").alias("days_in_month"),
+    # One aggregate, one shuffle. count(distinct date) is size(collect_set(date)): date_month
+    # is a key, so a set holds at most 31 dates and partial sets merge map-side.
+    monthly = rows.groupBy(*BILL_DIMS).agg(
+        *[xsum(m).alias(m) for m in measures],
+        F.size(F.collect_set("date")).cast("int").alias("days_in_month"),
     )
     d = lambda m: F.col(m).cast("double")
     return monthly.select(*BILL_DIMS, d("cost").alias("accrual_cost"), d("usage").alias("usage"),

@@ -8,11 +8,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from costlake.functions.measures import dsum
+from costlake.functions.measures import dsum, exact
 from costlake.operators.enrich import DAYS_PER_MONTH
 
 # ---------------------------------------------------------------- discount iceberg (V1-V6)
@@ -54,20 +54,21 @@ def discount_iceberg(bill: DataFrame, sort: bool = False) -> DataFrame:
         F.to_timestamp(F.concat(F.col("date_month"), F.lit("-01"))).alias("date_month"),
         iceberg_line.alias("iceberg_bill_line"), "product_code", "product_description",
         iceberg_cost.alias("iceberg_cost"))
+    # One exchange by month: the final aggregate and both whole-partition sums then run in
+    # place. A month holds bill lines (products x lines), not raw lines, so it stays small.
     final = (calced.withColumn("iceberg_type", F.when(F.col("iceberg_cost") >= 0, F.lit("Net Charges"))
                                .otherwise(F.lit("Discounts")))
+             .repartition("date_month")
              .groupBy("date_month", "iceberg_bill_line", "product_code", "product_description", "iceberg_type")
              .agg(dsum("iceberg_cost").alias("iceberg_cost"))
              .where(F.col("iceberg_cost") != 0))
-    # whole-partition sums as tiny aggregates (months x 2 rows) joined back by broadcast
-    per_type = final.groupBy("date_month", "iceberg_type").agg(dsum("iceberg_cost").alias("type_total"))
-    per_month = final.groupBy("date_month").agg(dsum(F.abs("iceberg_cost")).alias("month_total"))
-    out = (final.join(F.broadcast(per_type), ["date_month", "iceberg_type"])
-           .join(F.broadcast(per_month), ["date_month"])
-           .select("date_month", "iceberg_bill_line", "product_code", "product_description", "iceberg_type",
-                   "iceberg_cost",
-                   F.try_divide(F.col("iceberg_cost"), F.col("type_total")).alias("percent_of_type"),
-                   F.try_divide(F.abs(F.col("iceberg_cost")), F.col("month_total")).alias("percent_of_total")))
+    by_type = Window.partitionBy("date_month", "iceberg_type")
+    by_month = Window.partitionBy("date_month")
+    out = final.select(
+        "date_month", "iceberg_bill_line", "product_code", "product_description", "iceberg_type", "iceberg_cost",
+        F.try_divide(F.col("iceberg_cost"), F.sum(exact("iceberg_cost")).over(by_type).cast("double")).alias("percent_of_type"),
+        F.try_divide(F.abs(F.col("iceberg_cost")),
+                     F.sum(exact(F.abs(F.col("iceberg_cost")))).over(by_month).cast("double")).alias("percent_of_total"))
     return out.orderBy(F.col("date_month").desc(), F.col("product_code").asc()) if sort else out
 
 

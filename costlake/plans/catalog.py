@@ -10,12 +10,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from costlake.operators import facts, recipes, views
 from costlake.operators.clean import clean
 from costlake.plans.pipeline import FIXTURE_TAGS, fixture_pipeline
 from costlake.sources.contract import months_back
 from costlake.sources.fixture import AS_OF, cur_from_lineitem
+from costlake.sources.local import local_table
 
 # Our own curated maps for the tag recipes (a user keeps these as small tables).
 ENV_MAP = [("prod", "production"), ("production", "production"), ("prd", "production"),
@@ -25,6 +27,10 @@ TAG_RULES = [("svc3", True, "2001-04-18", "2001-05-07", "svc3-v2")]
 DRIVER_MAP = [(f"svc{i}", "customers" if i < 5 else "orders") for i in range(10)]
 
 
+def _schema(*names: str) -> T.StructType:
+    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+
+
 def _p(spark, sf_dir, **kw):
     return fixture_pipeline(spark, sf_dir, **kw)
 
@@ -100,12 +106,12 @@ def _tagged_fact(spark, sf_dir):
 
 
 def q_env_mapping(spark, sf_dir):
-    env = spark.createDataFrame(ENV_MAP, "tag_env string, environment string")
+    env = local_table(spark, ENV_MAP, _schema("tag_env", "environment"))
     return recipes.env_mapping(_tagged_fact(spark, sf_dir), env)
 
 
 def q_system_mapping(spark, sf_dir):
-    m = spark.createDataFrame(SYSTEM_MAP, "tag_service string, tag_system string")
+    m = local_table(spark, SYSTEM_MAP, _schema("tag_service", "tag_system"))
     return recipes.system_mapping(_tagged_fact(spark, sf_dir), m)
 
 
@@ -144,7 +150,7 @@ def q_growth_alerts(spark, sf_dir):
 
 def q_driver_projection(spark, sf_dir):
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    dm = spark.createDataFrame(DRIVER_MAP, "tag_service string, driver string")
+    dm = local_table(spark, DRIVER_MAP, _schema("tag_service", "driver"))
     return recipes.driver_projection(_tagged_fact(spark, sf_dir), dm, recipes.driver_units_from_orders(orders), AS_OF)
 
 

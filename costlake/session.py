@@ -27,6 +27,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        # no per-call call-site capture while building large expression trees (static conf)
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", os.environ.get("COSTLAKE_DRIVER_MEMORY", "8g"))
     )
     # local runs only: a cluster names its shared folder in spark.checkpoint.dir itself

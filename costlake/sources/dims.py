@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from costlake.sources.local import local_table
+
 # a dimension broadcast must stay below this many rows; larger ones take a shuffled join
 BROADCAST_ROW_LIMIT = 500_000
 
@@ -187,7 +189,7 @@ def _seed(spark: SparkSession, name: str) -> Dim:
     keys = [tuple(r[i] for i in key_idx) for r in rows]
     if len(set(keys)) != len(keys):
         raise DuplicateKeyError(f"{name}: seed key repeats")
-    return Dim(spark.createDataFrame(rows, SCHEMAS[name]), len(rows))
+    return Dim(local_table(spark, rows, SCHEMAS[name]), len(rows))
 
 
 def load_dim(spark: SparkSession, name: str, path: str | None = None) -> Dim:

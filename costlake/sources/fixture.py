@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from costlake.sources.contract import spread_small_input
+from costlake.sources.local import local_table
 
 MONEY = "decimal(24,10)"
 AS_OF = dt.date(2001, 7, 31)   # last day with dense lineitem data
@@ -162,7 +163,7 @@ def templates(spark: SparkSession) -> DataFrame:
     assert len(TEMPLATES) == N_TEMPLATES
     hit = _TEMPLATE_CACHE.get(id(spark))
     if hit is None or hit[0] is not spark:
-        hit = (spark, spark.createDataFrame(TEMPLATES, TEMPLATE_SCHEMA))
+        hit = (spark, local_table(spark, TEMPLATES, TEMPLATE_SCHEMA))
         _TEMPLATE_CACHE[id(spark)] = hit
     return hit[1]
 
