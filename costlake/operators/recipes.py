@@ -259,50 +259,56 @@ def growth_projection(fact: DataFrame, as_of: dt.date, lookback: int = 6, horizo
     """Compounding projection per pricing bucket, plus a back-test one year earlier.
 
     Growth g is the mean monthly growth over ``lookback`` months before the base month;
-    cost(base + n) = cost(base) * (1 + g)^n. The back-test starts twelve months earlier
-    and carries the actual cost of each projected month.
+    cost(base + n) = cost(base) * (1 + g)^n. The back-test starts ``horizon`` months earlier
+    and carries the actual cost of each projected month. One conditional aggregate picks
+    the four anchor months per bucket.
     """
     monthly = fact.groupBy("pricing_bucket", "date_month").agg(dsum("cost").alias("cost"))
     base = (as_of.replace(day=1) - dt.timedelta(days=1)).strftime("%Y-%m")     # last complete month
-    rows = []
-    for kind, shift in (("forecast", 0), ("backtest", -horizon)):
-        b = _month_add(F.lit(base), shift)
-        start = monthly.where(F.col("date_month") == b).select("pricing_bucket", F.col("cost").alias("base_cost"),
-                                                                  b.alias("base_month"))
-        before = monthly.where(F.col("date_month") == _month_add(b, -lookback)).select(
-            "pricing_bucket", F.col("cost").alias("old_cost"))
-        g = (start.join(before, "pricing_bucket")
-             .select("pricing_bucket", "base_month", "base_cost",
-                     (F.try_divide(F.col("base_cost") - F.col("old_cost"), F.col("old_cost")) / lookback).alias("growth")))
-        proj = (g.select("*", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("n"))
-                .select(F.lit(kind).alias("kind"), "pricing_bucket", "base_month", "growth", "n",
-                        F.date_format(F.add_months(F.to_date(F.concat("base_month", F.lit("-01"))), F.col("n")), "yyyy-MM").alias("date_month"),
-                        (F.col("base_cost") * _compound(F.col("growth"), F.col("n"))).alias("projected_cost")))
-        rows.append(proj)
-    proj = rows[0].unionByName(rows[1])
+    kinds = [("forecast", 0), ("backtest", -horizon)]
+    m = F.col("date_month")
+
+    def at(month_shift):
+        return F.max(F.when(m == _month_add(F.lit(base), month_shift), F.col("cost")))
+
+    anchors = monthly.groupBy("pricing_bucket").agg(
+        *[at(shift).alias(f"{kind}_base") for kind, shift in kinds],
+        *[at(shift - lookback).alias(f"{kind}_old") for kind, shift in kinds])
+    starts = F.explode(F.array(*[
+        F.struct(F.lit(kind).alias("kind"), _month_add(F.lit(base), shift).alias("base_month"),
+                 F.col(f"{kind}_base").alias("base_cost"), F.col(f"{kind}_old").alias("old_cost"))
+        for kind, shift in kinds])).alias("s")
+    g = (anchors.select("pricing_bucket", starts)
+         .select("pricing_bucket", "s.*")
+         .where(F.col("base_cost").isNotNull() & F.col("old_cost").isNotNull())
+         .select("kind", "pricing_bucket", "base_month", "base_cost",
+                 (F.try_divide(F.col("base_cost") - F.col("old_cost"), F.col("old_cost")) / lookback).alias("growth")))
+    proj = (g.select("*", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("n"))
+            .select("kind", "pricing_bucket", "base_month", "growth", "n",
+                    F.date_format(F.add_months(F.to_date(F.concat("base_month", F.lit("-01"))), F.col("n")), "yyyy-MM").alias("date_month"),
+                    (F.col("base_cost") * _compound(F.col("growth"), F.col("n"))).alias("projected_cost")))
     actual = monthly.select("pricing_bucket", "date_month", F.col("cost").alias("actual_cost"))
     return proj.join(actual, ["pricing_bucket", "date_month"], "left")
 
 
 # ---------------------------------------------------------------- G17
 
-def reconcile(cur_billable: DataFrame, cur_all: DataFrame, bill: DataFrame, since_month: str,
-              tolerance: float = 0.01) -> DataFrame:
-    """Tie the bill to the raw lines per month: totals, difference, and the lines C1 dropped."""
-    def month(ts):
-        return F.date_format(F.to_date(ts), "yyyy-MM")
+def reconcile(cur: DataFrame, bill: DataFrame, since_month: str, tolerance: float = 0.01) -> DataFrame:
+    """Tie the bill to the raw lines per month: totals, difference, and the lines C1 dropped.
 
-    src = (cur_billable.groupBy(month("line_item_usage_start_date").alias("date_month"))
-           .agg(dsum("line_item_unblended_cost").cast("double").alias("source_unblended"),
-                F.count(F.lit(1)).alias("source_lines")))
+    One aggregate over the raw lines gives the billable total and both dropped-line counts.
+    """
     lt = F.col("line_item_line_item_type")
     rate = F.col("pricing_public_on_demand_rate")
-    dropped = (cur_all.groupBy(month("line_item_usage_start_date").alias("date_month"))
-               .agg(F.sum(F.when((lt == "Usage") & (rate == "0.0000000000"), 1).otherwise(0)).alias("dropped_free_lines"),
-                    F.sum(F.when((lt == "Usage") & rate.isNull(), 1).otherwise(0)).alias("dropped_null_rate_lines")))
+    free = (lt == "Usage") & (rate == "0.0000000000")
+    billable = ~free                         # null (Usage with a null rate) is dropped too
+    src = (cur.groupBy(F.date_format(F.to_date("line_item_usage_start_date"), "yyyy-MM").alias("date_month"))
+           .agg(F.sum(F.when(billable, F.col("line_item_unblended_cost"))).cast("double").alias("source_unblended"),
+                F.count(F.when(billable, F.lit(1))).alias("source_lines"),
+                F.count(F.when(free, F.lit(1))).alias("dropped_free_lines"),
+                F.count(F.when((lt == "Usage") & rate.isNull(), F.lit(1))).alias("dropped_null_rate_lines")))
     b = bill.groupBy("date_month").agg(dsum("unblended_cost").alias("bill_unblended"))
-    j = (src.join(b, "date_month", "full_outer").join(dropped, "date_month", "left")
-         .where(F.col("date_month") >= since_month))
+    j = src.join(b, "date_month", "full_outer").where(F.col("date_month") >= since_month)
     diff = F.coalesce(F.col("bill_unblended"), F.lit(0.0)) - F.coalesce(F.col("source_unblended"), F.lit(0.0))
     pct = F.try_divide(F.abs(diff), F.abs(F.col("source_unblended")))
     return j.select("date_month", "source_unblended", "bill_unblended", diff.alias("diff"), pct.alias("pct_diff"),

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from costlake.operators import facts, recipes, views
 from costlake.operators.clean import clean
 from costlake.plans.pipeline import FIXTURE_TAGS, fixture_pipeline
-from costlake.sources.contract import months_back
+from costlake.sources.contract import date_slice, months_back
 from costlake.sources.fixture import AS_OF, cur_from_lineitem
 from costlake.sources.local import local_table
 
@@ -48,6 +48,12 @@ def q_source_months_back(spark, sf_dir):
     return clean(months_back(cur, AS_OF, 2))
 
 
+def q_source_date_slice(spark, sf_dir):
+    """S3: stage 00 over the debugging slice of one week of raw lines."""
+    cur = cur_from_lineitem(spark, sf_dir, AS_OF)
+    return clean(date_slice(cur, "2001-07-01 00:00:00", "2001-07-07 23:59:59"))
+
+
 def q_usage_daily(spark, sf_dir):
     return _p(spark, sf_dir).usage_daily()
 
@@ -159,17 +165,16 @@ def q_growth_projection(spark, sf_dir):
 
 
 def q_reconcile(spark, sf_dir):
-    from costlake.operators.clean import billable
     from costlake.sources.contract import conform
     p = _p(spark, sf_dir)
-    cur = conform(p.cur)
-    return recipes.reconcile(billable(cur), cur, p.bill(), facts.years_back(AS_OF, 2).strftime("%Y-%m"))
+    return recipes.reconcile(conform(p.cur), p.bill(), facts.years_back(AS_OF, 2).strftime("%Y-%m"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_lineitems": q_clean_lineitems,
     "enriched_lineitems": q_enriched_lineitems,
     "source_months_back": q_source_months_back,
+    "source_date_slice": q_source_date_slice,
     "usage_daily": q_usage_daily,
     "usage_incremental": q_usage_incremental,
     "bill_monthly": q_bill_monthly,

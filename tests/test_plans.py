@@ -64,3 +64,19 @@ def test_incremental_reads_whole_bill_months(spark):
     # 2001-07-31 - 65 days = 2001-05-27: the window touches May, June, July
     assert restatement_months(AS_OF, 65) == 2
     assert restatement_months(dt.date(2023, 3, 5), 65) == 3
+
+
+def test_fact_filters_reach_the_scan(spark, cur_table):
+    """Line-type filter of the fact goes into the Parquet reader; the window's months prune partitions."""
+    from costlake.plans.pipeline import Pipeline
+
+    spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
+    try:
+        cur = spark.read.parquet(cur_table)
+        p = plan(Pipeline(spark, months_back(cur, AS_OF, 2), AS_OF).usage_incremental())
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+    scan = next(line for line in p.split("\n") if "Scan parquet" in line)
+    pushed = scan[scan.index("PushedFilters"):scan.index("ReadSchema")]
+    assert "In(line_item_line_item_type, [DiscountedUsage,SavingsPlanCoveredUsage,Usage])" in pushed
+    assert "PartitionFilters: [" in scan and "PartitionFilters: []" not in scan
