@@ -84,3 +84,21 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     out = f"{base.rstrip('/')}/costlake/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(out)
     return spark.read.parquet(out)
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """Read a fact table written here, keeping partition values (``date``, ``date_month``) as ISO text.
+
+    Spark would otherwise infer ``date=2001-05-27`` as a DateType column; the views compare
+    dates as text, as the facts define them.
+    """
+    key = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "false")
+    try:
+        return spark.read.parquet(path)      # the file index (and partition types) is built here
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from conftest import SF_SMALL
 from costlake.operators import facts
 from costlake.plans.pipeline import Pipeline, build_full, build_incremental
-from costlake.plans.sinks import partitions
+from costlake.plans.sinks import partitions, read_table
 from costlake.sources.fixture import AS_OF, cur_from_lineitem
 
 
@@ -20,11 +20,7 @@ def on_day(n):
 
 
 def read(spark, path):
-    spark.conf.set("spark.sql.sources.partitionColumnTypeInference.enabled", "false")
-    try:
-        return spark.read.parquet(path)
-    finally:
-        spark.conf.unset("spark.sql.sources.partitionColumnTypeInference.enabled")
+    return read_table(spark, path)
 
 
 def rows(df, cols):
