@@ -33,13 +33,32 @@ def is_blank(s: Column) -> Column:
 
 # ---------------------------------------------------------------- calendar
 
+# Calendar text is built from dates with plain arithmetic, never through a formatter: a
+# formatter converts through the session time zone and moves wall-clock times that fall
+# in a daylight-saving gap.
+
+def iso_date(d: Column) -> Column:
+    """``yyyy-MM-dd`` of a date (or of the wall-clock day of a timestamp)."""
+    return F.to_date(d).cast("string")
+
+
+def iso_month(d: Column) -> Column:
+    return F.substring(iso_date(d), 1, 7)
+
+
 def date_text(ts: Column) -> Column:
-    return F.date_format(F.to_date(ts), "yyyy-MM-dd")
+    return iso_date(ts)
+
+
+def hour_text(ts: Column) -> Column:
+    """``yyyy-MM-dd HH`` of the wall-clock hour."""
+    return F.concat(iso_date(ts), F.lit(" "), F.lpad(F.hour(ts).cast("string"), 2, "0"))
 
 
 def week_text(date_txt: Column) -> Column:
     """Monday of the ISO week, as text."""
-    return F.date_format(F.date_trunc("week", F.to_date(date_txt)), "yyyy-MM-dd")
+    d = F.to_date(date_txt)
+    return F.date_sub(d, (F.dayofweek(d) + 5) % 7).cast("string")
 
 
 def month_text(date_txt: Column) -> Column:
@@ -49,7 +68,8 @@ def month_text(date_txt: Column) -> Column:
 def day_of_week(date_txt: Column) -> Column:
     """``1 (Mon)``: Sunday is 0."""
     d = F.to_date(date_txt)
-    return F.concat((F.dayofweek(d) - 1).cast("string"), F.lit(" ("), F.date_format(d, "EEE"), F.lit(")"))
+    names = F.array(*[F.lit(n) for n in ("Sun", "Mon", "Tue", "Wed", "Thu", "Fri", "Sat")])
+    return F.concat((F.dayofweek(d) - 1).cast("string"), F.lit(" ("), F.element_at(names, F.dayofweek(d)), F.lit(")"))
 
 
 def days_in_month(year: Column, month: Column) -> Column:

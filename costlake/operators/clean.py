@@ -123,7 +123,7 @@ def clean(cur: DataFrame, tags: Mapping[str, str] | None = None,
         c("product_volume_api_name").alias("storage_volume_api"),
         c("product_uservolume").alias("storage_user_volume"),
         *[c(src).alias(out) for out, src in tags.items()],
-        *[F.date_format(c("line_item_usage_start_date"), "yyyy-MM-dd HH").alias(h) for h in hour_keys],
+        *[fx.hour_text(c("line_item_usage_start_date")).alias(h) for h in hour_keys],
         # measures, still exact decimals
         c("line_item_usage_amount").alias("_amount"),
         fx.accrual_cost(line_type, c("line_item_net_unblended_cost"), c("reservation_net_effective_cost"),

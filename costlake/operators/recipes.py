@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from costlake.functions.cleaning import nonblank
+from costlake.functions.cleaning import iso_date, iso_month, nonblank
 from costlake.functions.measures import davg, dsum, exact
 
 
@@ -131,7 +131,7 @@ def tag_coverage(fact: DataFrame, tag: str = "tag_env") -> DataFrame:
 
 def work_log_from_orders(orders: DataFrame) -> DataFrame:
     """A transaction log per (date, service): each order is one transaction of a service."""
-    return (orders.groupBy(F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"),
+    return (orders.groupBy(iso_date(F.col("o_orderdate")).alias("date"),
                            F.concat(F.lit("svc"), (F.col("o_custkey") % 10).cast("string")).alias("service"))
             .agg(F.count(F.lit(1)).alias("transactions")))
 
@@ -214,12 +214,12 @@ def growth_alerts(fact: DataFrame, as_of: dt.date, window_days: int = 14, inflec
 # ---------------------------------------------------------------- G15, G16 projections
 
 def _month_add(col, n: int):
-    return F.date_format(F.add_months(F.to_date(F.concat(col, F.lit("-01"))), n), "yyyy-MM")
+    return iso_month(F.add_months(F.to_date(F.concat(col, F.lit("-01"))), n))
 
 
 def driver_units_from_orders(orders: DataFrame) -> DataFrame:
     """Monthly driver units from the order log: orders, and distinct customers."""
-    m = F.date_format("o_orderdate", "yyyy-MM").alias("date_month")
+    m = iso_month(F.col("o_orderdate")).alias("date_month")
     return (orders.groupBy(m).agg(F.count(F.lit(1)).cast("double").alias("orders"),
                                   F.countDistinct("o_custkey").cast("double").alias("customers"))
             .select("date_month", F.stack(F.lit(2), F.lit("orders"), "orders", F.lit("customers"), "customers")
@@ -242,8 +242,8 @@ def driver_projection(fact: DataFrame, driver_map: DataFrame, units: DataFrame,
     months = F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("k")
     fut = (hist.select("driver", "cost_per_unit", months)
            .select("driver", "cost_per_unit", _month_add(first_hist, 0).alias("base"), "k")
-           .select("driver", "cost_per_unit", F.date_format(F.add_months(F.to_date(F.concat("base", F.lit("-01"))), F.col("k") - 1), "yyyy-MM").alias("date_month"),
-                   F.date_format(F.add_months(F.to_date(F.concat("base", F.lit("-01"))), F.col("k") - 13), "yyyy-MM").alias("src_month")))
+           .select("driver", "cost_per_unit", iso_month(F.add_months(F.to_date(F.concat("base", F.lit("-01"))), F.col("k") - 1)).alias("date_month"),
+                   iso_month(F.add_months(F.to_date(F.concat("base", F.lit("-01"))), F.col("k") - 13)).alias("src_month")))
     u = units.select("driver", F.col("date_month").alias("src_month"), F.col("units").alias("forecast_units"))
     return (fut.join(u, ["driver", "src_month"], "left")
             .select("driver", "date_month", "forecast_units", "cost_per_unit",
@@ -285,7 +285,7 @@ def growth_projection(fact: DataFrame, as_of: dt.date, lookback: int = 6, horizo
                  (F.try_divide(F.col("base_cost") - F.col("old_cost"), F.col("old_cost")) / lookback).alias("growth")))
     proj = (g.select("*", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("n"))
             .select("kind", "pricing_bucket", "base_month", "growth", "n",
-                    F.date_format(F.add_months(F.to_date(F.concat("base_month", F.lit("-01"))), F.col("n")), "yyyy-MM").alias("date_month"),
+                    iso_month(F.add_months(F.to_date(F.concat("base_month", F.lit("-01"))), F.col("n"))).alias("date_month"),
                     (F.col("base_cost") * _compound(F.col("growth"), F.col("n"))).alias("projected_cost")))
     actual = monthly.select("pricing_bucket", "date_month", F.col("cost").alias("actual_cost"))
     return proj.join(actual, ["pricing_bucket", "date_month"], "left")
@@ -302,7 +302,7 @@ def reconcile(cur: DataFrame, bill: DataFrame, since_month: str, tolerance: floa
     rate = F.col("pricing_public_on_demand_rate")
     free = (lt == "Usage") & (rate == "0.0000000000")
     billable = ~free                         # null (Usage with a null rate) is dropped too
-    src = (cur.groupBy(F.date_format(F.to_date("line_item_usage_start_date"), "yyyy-MM").alias("date_month"))
+    src = (cur.groupBy(iso_month(F.col("line_item_usage_start_date")).alias("date_month"))
            .agg(F.sum(F.when(billable, F.col("line_item_unblended_cost"))).cast("double").alias("source_unblended"),
                 F.count(F.when(billable, F.lit(1))).alias("source_lines"),
                 F.count(F.when(free, F.lit(1))).alias("dropped_free_lines"),

@@ -51,7 +51,8 @@ def discount_iceberg(bill: DataFrame, sort: bool = False) -> DataFrame:
                     .when(bl == "Charges", F.lit("Net Charges"))
                     .otherwise(bl))
     calced = both.select(
-        F.to_timestamp(F.concat(F.col("date_month"), F.lit("-01"))).alias("date_month"),
+        # a wall-clock month start (no time zone), as the warehouse's plain timestamp
+        F.to_timestamp_ntz(F.concat(F.col("date_month"), F.lit("-01"))).alias("date_month"),
         iceberg_line.alias("iceberg_bill_line"), "product_code", "product_description",
         iceberg_cost.alias("iceberg_cost"))
     # One exchange by month: the final aggregate and both whole-partition sums then run in
@@ -166,15 +167,15 @@ def wow_cost_movers(fact: DataFrame, as_of: dt.date, fixed: bool = False, dims:
     """
     dims = dims or MOVER_DIMS
     pivot = F.broadcast(_pivot(fact, as_of))          # exactly one row
-    x = fact.crossJoin(pivot).where(F.col("date") >= F.date_format(F.date_sub("pivot", 91), "yyyy-MM-dd"))
+    x = fact.crossJoin(pivot).where(F.col("date") >= F.date_sub("pivot", 91).cast("string"))
     if fixed:
-        x = x.where(F.col("date") <= F.date_format("pivot", "yyyy-MM-dd"))
+        x = x.where(F.col("date") <= F.col("pivot").cast("string"))
     x = x.withColumn("weeks_back", F.expr("datediff(pivot, to_date(date)) div 7"))
     per_day = x.groupBy("date", "weeks_back", "pivot", *dims).agg(
         dsum("cost").alias("cost"), dsum("cost_mrr").alias("cost_mrr"), dsum("usage").alias("usage"))
     per_week = per_day.groupBy(
-        F.date_format(F.date_sub("pivot", F.col("weeks_back").cast("int") * 7), "yyyy-MM-dd").alias("week_of"),
-        F.date_format("pivot", "yyyy-MM-dd").alias("current_week"), "weeks_back", *dims,
+        F.date_sub("pivot", F.col("weeks_back").cast("int") * 7).cast("string").alias("week_of"),
+        F.col("pivot").cast("string").alias("current_week"), "weeks_back", *dims,
     ).agg(F.countDistinct("date").alias("num_days"), (dsum("cost") / 7).alias("avg_cost_daily"),
           (dsum("usage") / 7).alias("avg_usage_daily"))
     wb = F.col("weeks_back")

@@ -112,4 +112,5 @@ def restatement_months(as_of: dt.date, days: int) -> int:
 def date_slice(cur: DataFrame, start: str, end: str) -> DataFrame:
     """S3: a date-bounded debugging slice of the raw lines (inclusive bounds)."""
     ts = F.col("line_item_usage_start_date")
-    return cur.where(ts.between(F.lit(start).cast("timestamp"), F.lit(end).cast("timestamp")))
+    ty = cur.schema["line_item_usage_start_date"].dataType     # bounds in the column's own type
+    return cur.where(ts.between(F.lit(start).cast(ty), F.lit(end).cast(ty)))

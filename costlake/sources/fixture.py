@@ -190,7 +190,7 @@ def cur_from_lineitem_df(spark: SparkSession, li: DataFrame, as_of: dt.date = AS
 
     line_type = F.col("line_type")
     ship = F.col("l_shipdate")
-    month_text = F.date_format(ship, "yyyy-MM")
+    month_text = F.substring(F.to_date(ship).cast("string"), 1, 7)
 
     price = F.col("l_extendedprice").cast("decimal(12,2)")
     keep = (F.lit(1) - F.col("l_discount").cast("decimal(4,2)")).cast("decimal(4,2)")

@@ -54,3 +54,14 @@ def test_entry_smoke(spark):
 
     df = entry(spark)
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("name", ["hourly_usage", "clean_lineitems", "discount_iceberg", "source_date_slice"])
+def test_session_time_zone_does_not_matter(spark, con, name):
+    """Calendar text is zone-free: a zone with daylight saving gives the same rows."""
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        got = queries()[name](spark, SF_SMALL).toPandas()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert table(got) == table(con.execute(oracle_sql()[name]).df())
