@@ -255,19 +255,18 @@ def storage_class(product_class: Column, usage_type_raw: Column) -> Column:
 
 # ---------------------------------------------------------------- accrual cost
 
+MONEY = "decimal(24,10)"
+
+
 def accrual_cost(line_type: Column, net_unblended: Column, ri_net: Column, sp_net: Column) -> Column:
     return (F.when(line_type == "Usage", net_unblended)
             .when(line_type == "DiscountedUsage", ri_net)
             .when(line_type == "SavingsPlanCoveredUsage", sp_net)
-            .otherwise(F.lit(0).cast(net_unblended_type())))
+            .otherwise(F.lit(0).cast(MONEY)))
 
 
 def cost_without_edp(line_type: Column, net_unblended: Column, edp: Column, ri_eff: Column, sp_eff: Column) -> Column:
     return (F.when(line_type == "Usage", net_unblended + edp)
             .when(line_type == "DiscountedUsage", ri_eff)
             .when(line_type == "SavingsPlanCoveredUsage", sp_eff)
-            .otherwise(F.lit(0).cast(net_unblended_type())))
-
-
-def net_unblended_type() -> str:
-    return "decimal(24,10)"
+            .otherwise(F.lit(0).cast(MONEY)))

@@ -22,7 +22,6 @@ from costlake.functions import cleaning as fx
 from costlake.sources.contract import conform
 
 VERSION = "0.1.0"
-MONEY_SUM = "decimal(38,10)"
 
 # grouping keys computed per line, in output order
 LINE_KEYS = [
