@@ -33,3 +33,12 @@ def test_large_dimension_is_not_broadcast(spark):
     assert "ResolvedHint" in small.joinable()._jdf.queryExecution().logical().toString() or \
         "broadcast" in small.joinable()._jdf.queryExecution().logical().toString().lower()
     assert "broadcast" not in large.joinable()._jdf.queryExecution().logical().toString().lower()
+
+
+def test_buying_options_as_array(spark):
+    """Options given as an array are shown joined by ', ', same as the text form."""
+    p = fixture_pipeline(spark, SF_SMALL)
+    text = p.dims.buying.df
+    arr = text.withColumn("buy_options", F.split("buy_options", ", "))
+    fact = p.usage_daily()
+    assert rows(views.buying_efficiency(fact, arr, AS_OF)) == rows(views.buying_efficiency(fact, text, AS_OF))
