@@ -77,11 +77,12 @@ def fixture_pipeline(spark: SparkSession, sf_dir: str, tags: Mapping[str, str] |
 
 def build_full(p: Pipeline, usage_path: str, bill_path: str) -> None:
     """Full build: stage 01 once (materialised), then both facts from it."""
-    from costlake.plans.sinks import full_load, materialize
+    from costlake.plans.sinks import drop_materialized, full_load, materialize
 
     s01 = materialize(p.stage01(), "stage01")
     full_load(facts.usage_daily(s01, p.as_of), usage_path, "date")
     full_load(facts.bill_full(s01, p.as_of), bill_path, "date_month")
+    drop_materialized(s01)
 
 
 def build_incremental(p: Pipeline, usage_path: str, bill_path: str, days: int = facts.RESTATE_DAYS) -> dict:
@@ -90,7 +91,7 @@ def build_incremental(p: Pipeline, usage_path: str, bill_path: str, days: int =
     Only the CUR months the window touches are read (partition filter on year/month); the
     bill restates whole months from the month of ``as_of - days``.
     """
-    from costlake.plans.sinks import materialize, restate
+    from costlake.plans.sinks import drop_materialized, materialize, restate
     from costlake.sources.contract import months_back, restatement_months
 
     cur = months_back(p.cur, p.as_of, restatement_months(p.as_of, days))
@@ -100,4 +101,5 @@ def build_incremental(p: Pipeline, usage_path: str, bill_path: str, days: int =
                            facts.restate_start(p.as_of, days))
     dropped_months = restate(facts.bill(s01, facts.bill_restate_month(p.as_of, days)), bill_path, "date_month",
                              facts.bill_restate_month(p.as_of, days))
+    drop_materialized(s01)
     return {"dropped_days": dropped_days, "dropped_months": dropped_months}

@@ -86,6 +86,14 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(out)
 
 
+def drop_materialized(df: DataFrame) -> None:
+    """Delete the folder behind a frame returned by ``materialize`` (after its last use)."""
+    spark = df.sparkSession
+    for f in df.inputFiles()[:1]:
+        fs, p, _ = _fs(spark, f)
+        fs.delete(p.getParent(), True)
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """Read a fact table written here, keeping partition values (``date``, ``date_month``) as ISO text.
 

@@ -19,6 +19,10 @@ def test_views_from_tables(spark, tmp_path):
     p = fixture_pipeline(spark, SF_SMALL)
     usage_path, bill_path = str(tmp_path / "usage"), str(tmp_path / "bill")
     build_full(p, usage_path, bill_path)
+    import os
+    ckpt = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    left = os.listdir(os.path.join(ckpt, "costlake")) if os.path.isdir(os.path.join(ckpt, "costlake")) else []
+    assert not [d for d in left if d.startswith("stage01-")]      # the intermediate table is removed
     usage, bill = read_table(spark, usage_path), read_table(spark, bill_path)
     assert dict(usage.dtypes)["date"] == "string" and dict(bill.dtypes)["date_month"] == "string"
     assert rows(views.discount_iceberg(bill)) == rows(views.discount_iceberg(p.bill()))
