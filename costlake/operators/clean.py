@@ -13,9 +13,10 @@ the shuffle key is narrower and the regexes run once per group instead of once p
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from costlake.functions import cleaning as fx
@@ -58,28 +59,17 @@ def billable(cur: DataFrame) -> DataFrame:
     return cur.where(~free)
 
 
-def clean(cur: DataFrame, tags: Mapping[str, str] | None = None,
-          resource_tag_fallbacks: Sequence[str] = (), grain: str = "day",
-          keep_units: DataFrame | None = None) -> DataFrame:
-    """Stage 00 over raw CUR.
-
-    ``tags`` maps output names to CUR tag columns that become extra dimensions (the
-    "site-specific tags"); ``resource_tag_fallbacks`` are tag columns that name the group
-    an instance or volume belongs to. ``grain="hour"`` adds an ``hour`` key
-    (``yyyy-MM-dd HH``) for intraday analysis. ``keep_units`` (a small frame with a
-    ``pricing_unit`` column) keeps only lines with those cleaned units, before the shuffle.
-    """
-    if grain not in ("day", "hour"):
-        raise ValueError(f"grain must be 'day' or 'hour', not {grain!r}")
-    hour_keys = ["hour"] if grain == "hour" else []
-    tags = dict(tags or {})
-    tag_sources = list(dict.fromkeys(list(tags.values()) + list(resource_tag_fallbacks)))
-    raw = billable(conform(cur, tag_sources))
+@functools.lru_cache(maxsize=64)
+def _line_columns(tags: tuple[tuple[str, str], ...], resource_tag_fallbacks: tuple[str, ...],
+                  hour_keys: tuple[str, ...]) -> tuple[Column, ...]:
+    """The per-line projection of stage 00. Built once per parameter set: the expressions are
+    unresolved trees over column names, so every query can reuse them (building one costs
+    thousands of calls into the JVM)."""
     c = fx.c
     entity = c("bill_billing_entity")
     market = entity == "AWS Marketplace"
     line_type = c("line_item_line_item_type")
-    cleaned = raw.select(
+    return (
         c("year"), c("month"),
         fx.date_text(c("line_item_usage_start_date")).alias("date"),
         c("line_item_usage_account_id").alias("account_id"),
@@ -121,7 +111,7 @@ def clean(cur: DataFrame, tags: Mapping[str, str] | None = None,
         c("product_volume_type").alias("storage_volume_type"),
         c("product_volume_api_name").alias("storage_volume_api"),
         c("product_uservolume").alias("storage_user_volume"),
-        *[c(src).alias(out) for out, src in tags.items()],
+        *[c(src).alias(out) for out, src in tags],
         *[fx.hour_text(c("line_item_usage_start_date")).alias(h) for h in hour_keys],
         # measures, still exact decimals
         c("line_item_usage_amount").alias("_amount"),
@@ -135,16 +125,45 @@ def clean(cur: DataFrame, tags: Mapping[str, str] | None = None,
         c("discount_private_rate_discount").alias("_private"),
         c("discount_total_discount").alias("_total_discount"),
         c("pricing_public_on_demand_cost").alias("_public"),
-    )
+        )
+
+
+def clean(cur: DataFrame, tags: Mapping[str, str] | None = None,
+          resource_tag_fallbacks: Sequence[str] = (), grain: str = "day",
+          keep_units: DataFrame | None = None) -> DataFrame:
+    """Stage 00 over raw CUR.
+
+    ``tags`` maps output names to CUR tag columns that become extra dimensions (the
+    "site-specific tags"); ``resource_tag_fallbacks`` are tag columns that name the group
+    an instance or volume belongs to. ``grain="hour"`` adds an ``hour`` key
+    (``yyyy-MM-dd HH``) for intraday analysis. ``keep_units`` (a small frame with a
+    ``pricing_unit`` column) keeps only lines with those cleaned units, before the shuffle.
+    """
+    if grain not in ("day", "hour"):
+        raise ValueError(f"grain must be 'day' or 'hour', not {grain!r}")
+    hour_keys = ["hour"] if grain == "hour" else []
+    tags = dict(tags or {})
+    tag_sources = list(dict.fromkeys(list(tags.values()) + list(resource_tag_fallbacks)))
+    raw = billable(conform(cur, tag_sources))
+    cleaned = raw.select(*_line_columns(tuple(tags.items()), tuple(resource_tag_fallbacks), tuple(hour_keys)))
 
     if keep_units is not None:
         cleaned = cleaned.join(F.broadcast(keep_units.select("pricing_unit").distinct()), "pricing_unit", "left_semi")
 
+    keys = LINE_KEYS + list(tags) + hour_keys
+    aggs, out = _agg_and_output(tuple(tags), tuple(hour_keys))
+    return cleaned.groupBy(*keys).agg(*aggs).select(*out)
+
+
+@functools.lru_cache(maxsize=64)
+def _agg_and_output(tags: tuple[str, ...], hour_keys: tuple[str, ...]) -> tuple[tuple[Column, ...], tuple[Column, ...]]:
+    """Aggregates and the post-aggregate projection of stage 00 (reusable, see _line_columns)."""
+    c = fx.c
+
     def dsum(name: str):
         return F.sum(name).cast("double")
 
-    keys = LINE_KEYS + list(tags) + hour_keys
-    agg = cleaned.groupBy(*keys).agg(
+    aggs = (
         F.count(F.lit(1)).alias("record_cnt"),
         F.sum("_amount").alias("_amount"),
         dsum("_cost").alias("cost"),
@@ -169,6 +188,6 @@ def clean(cur: DataFrame, tags: Mapping[str, str] | None = None,
         "usage": c("_amount").cast("double") / fx.usage_divisor(c("pricing_unit_orig")),
     }
     out = [derived[n].alias(n) if n in derived else c(n) for n in STAGE00_DIMS]
-    out += [c(t) for t in list(tags) + hour_keys]
+    out += [c(t) for t in list(tags) + list(hour_keys)]
     out += [derived[n].alias(n) if n in derived else c(n) for n in STAGE00_MEASURES]
-    return agg.select(*out)
+    return aggs, tuple(out)

@@ -8,7 +8,9 @@ every expression must read the *source* column (``rate`` uses the unsmoothed cos
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import functools
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from costlake.functions import cleaning as fx
@@ -36,23 +38,9 @@ STAGE01_MEASURES = [
 ]
 
 
-def enrich(stage00: DataFrame, dims: Dims, tags: list[str] | tuple[str, ...] = ()) -> DataFrame:
-    a = stage00.alias("a")
-    b = dims.accounts.joinable().select(F.col("account_id").alias("b_id"), F.col("account_name").alias("b_name"),
-                                        F.col("account_nick").alias("b_nick"))
-    cb = dims.buckets.joinable().select(F.col("pricing_unit").alias("c_unit"), F.col("pricing_bucket").alias("c_bucket"))
-    spec = spec_attributes(dims.specs.df)
-    spec = F.broadcast(spec) if dims.specs.rows <= BROADCAST_ROW_LIMIT else spec
-    d = spec.select(F.col("instance_spec").alias("d_spec"), F.col("compute_class").alias("d_class"),
-                    F.col("processor_name").alias("d_pname"), F.col("processor_vendor").alias("d_vendor"),
-                    F.col("processor_line").alias("d_line"), F.col("processor_vcpu").alias("d_vcpu"))
-    e = dims.products.joinable().select(F.col("product_code").alias("e_code"), F.col("product_name").alias("e_name"))
-
-    x = (a.join(b, F.col("a.account_id") == F.col("b_id"), "left")
-          .join(cb, F.col("a.pricing_unit") == F.col("c_unit"), "left")
-          .join(d, F.col("a.compute_instance_spec") == F.col("d_spec"), "left")
-          .join(e, F.col("a.product_code") == F.col("e_code"), "left"))
-
+@functools.lru_cache(maxsize=64)
+def _stage01_columns(tags: tuple[str, ...]) -> tuple[Column, ...]:
+    """The single select of stage 01 over the joined frame (unresolved, reusable)."""
     s = lambda n: F.col(f"a.{n}")  # noqa: E731  source column of stage 00
     bucket = F.col("c_bucket")
     product_name = F.coalesce(F.col("e_name"), s("product_name"))
@@ -95,4 +83,25 @@ def enrich(stage00: DataFrame, dims: Dims, tags: list[str] | tuple[str, ...] = (
     cols += [derived[n].alias(n) if n in derived else s(n).alias(n) for n in STAGE01_MEASURES]
     cols.append(s("net_unblended_cost").alias("net_unblended_cost"))
     cols.append(s("date").alias("date"))
-    return x.select(*cols)
+    return tuple(cols)
+
+
+def enrich(stage00: DataFrame, dims: Dims, tags: list[str] | tuple[str, ...] = ()) -> DataFrame:
+    a = stage00.alias("a")
+    b = dims.accounts.joinable().select(F.col("account_id").alias("b_id"), F.col("account_name").alias("b_name"),
+                                        F.col("account_nick").alias("b_nick"))
+    cb = dims.buckets.joinable().select(F.col("pricing_unit").alias("c_unit"), F.col("pricing_bucket").alias("c_bucket"))
+    spec = spec_attributes(dims.specs.df)
+    spec = F.broadcast(spec) if dims.specs.rows <= BROADCAST_ROW_LIMIT else spec
+    d = spec.select(F.col("instance_spec").alias("d_spec"), F.col("compute_class").alias("d_class"),
+                    F.col("processor_name").alias("d_pname"), F.col("processor_vendor").alias("d_vendor"),
+                    F.col("processor_line").alias("d_line"), F.col("processor_vcpu").alias("d_vcpu"))
+    e = dims.products.joinable().select(F.col("product_code").alias("e_code"), F.col("product_name").alias("e_name"))
+
+    x = (a.join(b, F.col("a.account_id") == F.col("b_id"), "left")
+          .join(cb, F.col("a.pricing_unit") == F.col("c_unit"), "left")
+          .join(d, F.col("a.compute_instance_spec") == F.col("d_spec"), "left")
+          .join(e, F.col("a.product_code") == F.col("e_code"), "left"))
+
+    return x.select(*_stage01_columns(tuple(tags)))
+

@@ -8,6 +8,7 @@ downstream step the same types whatever the writer used.
 from __future__ import annotations
 
 import datetime as dt
+import functools
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -54,6 +55,12 @@ def conform(cur: DataFrame, tag_columns: list[str] | tuple[str, ...] = ()) -> Da
     absent_tags = [c for c in tag_columns if c not in present]
     if absent_tags:
         raise ValueError(f"CUR input lacks tag columns: {absent_tags}")
+    optional = tuple(c for c in OPTIONAL_MONEY_COLUMNS if c in present)
+    return cur.select(*_conform_columns(optional, tuple(tag_columns)))
+
+
+@functools.lru_cache(maxsize=64)
+def _conform_columns(optional_present: tuple[str, ...], tag_columns: tuple[str, ...]) -> tuple[Column, ...]:
     cols: list[Column] = [
         F.col("year").cast("string").alias("year"),
         F.col("month").cast("string").alias("month"),
@@ -62,9 +69,9 @@ def conform(cur: DataFrame, tag_columns: list[str] | tuple[str, ...] = ()) -> Da
     cols += [F.col(c).cast("string").alias(c) for c in TEXT_COLUMNS]
     cols += [F.col(c).cast(MONEY).alias(c) for c in MONEY_COLUMNS]
     for c in OPTIONAL_MONEY_COLUMNS:
-        cols.append((F.col(c).cast(MONEY) if c in present else F.lit(0).cast(MONEY)).alias(c))
+        cols.append((F.col(c).cast(MONEY) if c in optional_present else F.lit(0).cast(MONEY)).alias(c))
     cols += [F.col(c).cast("string").alias(c) for c in tag_columns]
-    return cur.select(*cols)
+    return tuple(cols)
 
 
 def spread_small_input(df: DataFrame) -> DataFrame:

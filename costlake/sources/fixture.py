@@ -14,6 +14,7 @@ product passes 38 digits (Spark would silently cut the scale).
 from __future__ import annotations
 
 import datetime as dt
+import functools
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -188,6 +189,12 @@ def cur_from_lineitem_df(spark: SparkSession, li: DataFrame, as_of: dt.date = AS
     t = F.broadcast(templates(spark))          # 32 rows, fixed
     x = li.join(t, "tid")
 
+    return x.select(*_cur_columns(as_of))
+
+
+@functools.lru_cache(maxsize=8)
+def _cur_columns(as_of: dt.date) -> tuple[Column, ...]:
+    """The CUR projection of the adapter (unresolved, reusable across queries)."""
     line_type = F.col("line_type")
     ship = F.col("l_shipdate")
     month_text = F.substring(F.to_date(ship).cast("string"), 1, 7)
@@ -215,7 +222,7 @@ def cur_from_lineitem_df(spark: SparkSession, li: DataFrame, as_of: dt.date = AS
     )
     acct_n = F.col("l_suppkey") % 7
 
-    return x.select(
+    return (
         F.year(ship).cast("string").alias("year"),
         F.month(ship).cast("string").alias("month"),
         F.expr("timestampadd(HOUR, CAST(l_orderkey % 24 AS INT), l_shipdate)").alias("line_item_usage_start_date"),
@@ -282,4 +289,4 @@ def cur_from_lineitem_df(spark: SparkSession, li: DataFrame, as_of: dt.date = AS
         F.concat(F.lit("svc"), (F.col("l_partkey") % 10).cast("string")).alias("resource_tags_user_service"),
         F.when(F.col("l_suppkey") % 3 == 0, F.lit(None).cast("string"))
          .otherwise(F.concat(F.lit("team-"), (F.col("l_suppkey") % 3).cast("string"))).alias("resource_tags_user_owner"),
-    )
+        )
