@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from costlake.functions import cleaning as fx
-from costlake.sources.dims import BROADCAST_ROW_LIMIT, Dims, spec_attributes
+from costlake.sources.dims import Dim, Dims, spec_attributes
 
 DAYS_PER_MONTH = 30.4375   # 365.25 / 12
 DATA_TRANSFER_PRODUCTS = ("AWSELB", "AmazonEC2", "AmazonApiGateway", "AmazonECR")
@@ -91,9 +91,8 @@ def enrich(stage00: DataFrame, dims: Dims, tags: list[str] | tuple[str, ...] = (
     b = dims.accounts.joinable().select(F.col("account_id").alias("b_id"), F.col("account_name").alias("b_name"),
                                         F.col("account_nick").alias("b_nick"))
     cb = dims.buckets.joinable().select(F.col("pricing_unit").alias("c_unit"), F.col("pricing_bucket").alias("c_bucket"))
-    spec = spec_attributes(dims.specs.df)
-    spec = F.broadcast(spec) if dims.specs.rows <= BROADCAST_ROW_LIMIT else spec
-    d = spec.select(F.col("instance_spec").alias("d_spec"), F.col("compute_class").alias("d_class"),
+    attrs = dims.spec_attrs or Dim(spec_attributes(dims.specs.df), dims.specs.rows)
+    d = attrs.joinable().select(F.col("instance_spec").alias("d_spec"), F.col("compute_class").alias("d_class"),
                     F.col("processor_name").alias("d_pname"), F.col("processor_vendor").alias("d_vendor"),
                     F.col("processor_line").alias("d_line"), F.col("processor_vcpu").alias("d_vcpu"))
     e = dims.products.joinable().select(F.col("product_code").alias("e_code"), F.col("product_name").alias("e_name"))

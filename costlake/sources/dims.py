@@ -174,6 +174,7 @@ class Dims:
     specs: Dim
     buying: Dim
     extra: dict = field(default_factory=dict)
+    spec_attrs: Dim | None = None      # one row per instance_spec (E3), set by load_dims
 
 
 def assert_unique(df: DataFrame, key: list[str], name: str) -> None:
@@ -221,15 +222,26 @@ def load_dims(spark: SparkSession, path: str | None = None) -> Dims:
     )
     # types that share a spec must agree on its attributes, else the spec join fans out
     if path is None:
-        attrs = {(r[10], r[13], r[5], r[11], r[12], r[3]) for r in INSTANCE_SPECS}
+        attrs = sorted({(r[10], r[13], r[5], r[11], r[12], r[3]) for r in INSTANCE_SPECS})
         if len({a[0] for a in attrs}) != len(attrs):
             raise DuplicateKeyError("dim_instance_specs: a spec has conflicting attributes")
+        rows = [(spec, klass, pname, vendor, line, int(vcpu) if str(vcpu).isdigit() else None)
+                for spec, klass, pname, vendor, line, vcpu in attrs]
+        dims.spec_attrs = Dim(local_table(spark, rows, SPEC_ATTR_SCHEMA), len(rows))
         _SEED_CACHE[id(spark)] = (spark, dims)
     else:
-        assert_unique(spec_attributes(dims.specs.df), ["instance_spec"], "dim_instance_specs (by spec)")
+        attrs = spec_attributes(dims.specs.df)
+        assert_unique(attrs, ["instance_spec"], "dim_instance_specs (by spec)")
+        dims.spec_attrs = Dim(attrs, dims.specs.rows)
     return dims
 
 
+SPEC_ATTR_SCHEMA = T.StructType(
+    [T.StructField(c, _S) for c in ("instance_spec", "compute_class", "processor_name", "processor_vendor",
+                                    "processor_line")]
+    + [T.StructField("processor_vcpu", T.IntegerType())])
+
+
 def spec_attributes(specs: DataFrame) -> DataFrame:
     """One row per ``instance_spec`` (types sharing a spec share its attributes)."""
     return specs.select(
