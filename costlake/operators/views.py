@@ -151,7 +151,7 @@ EPSILON = 0.00001
 
 
 def _pivot(fact: DataFrame, as_of: dt.date) -> DataFrame:
-    """One row: latest date with data in the last 10 days, minus 3 days (late data)."""
+    """One row, one column: latest date with data in the last 10 days, minus 3 days (late data)."""
     since = (as_of - dt.timedelta(days=10)).isoformat()
     return fact.where(F.col("date") >= since).agg(F.date_sub(F.to_date(F.max("date")), 3).alias("pivot"))
 
@@ -166,8 +166,9 @@ def wow_cost_movers(fact: DataFrame, as_of: dt.date, fixed: bool = False, dims:
     range, with the epsilon for empty ranges.
     """
     dims = dims or MOVER_DIMS
-    pivot = F.broadcast(_pivot(fact, as_of))          # exactly one row
-    x = fact.crossJoin(pivot).where(F.col("date") >= F.date_sub("pivot", 91).cast("string"))
+    # the pivot is a scalar subquery: computed once, inlined as a value (no join at all)
+    x = fact.withColumn("pivot", _pivot(fact, as_of).scalar())
+    x = x.where(F.col("date") >= F.date_sub("pivot", 91).cast("string"))
     if fixed:
         x = x.where(F.col("date") <= F.col("pivot").cast("string"))
     x = x.withColumn("weeks_back", F.expr("datediff(pivot, to_date(date)) div 7"))
