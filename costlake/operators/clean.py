@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from costlake.functions import cleaning as fx
 from costlake.sources.contract import conform
+from costlake.sources.dims import small_side
 
 VERSION = "0.1.0"
 
@@ -137,7 +138,8 @@ def clean(cur: DataFrame, tags: Mapping[str, str] | None = None,
     "site-specific tags"); ``resource_tag_fallbacks`` are tag columns that name the group
     an instance or volume belongs to. ``grain="hour"`` adds an ``hour`` key
     (``yyyy-MM-dd HH``) for intraday analysis. ``keep_units`` (a small frame with a
-    ``pricing_unit`` column) keeps only lines with those cleaned units, before the shuffle.
+    ``pricing_unit`` column, or a ``Dim``) keeps only lines with those cleaned units, before the
+    shuffle.
     """
     if grain not in ("day", "hour"):
         raise ValueError(f"grain must be 'day' or 'hour', not {grain!r}")
@@ -148,7 +150,8 @@ def clean(cur: DataFrame, tags: Mapping[str, str] | None = None,
     cleaned = raw.select(*_line_columns(tuple(tags.items()), tuple(resource_tag_fallbacks), tuple(hour_keys)))
 
     if keep_units is not None:
-        cleaned = cleaned.join(F.broadcast(keep_units.select("pricing_unit").distinct()), "pricing_unit", "left_semi")
+        units = small_side(keep_units).select("pricing_unit").distinct()
+        cleaned = cleaned.join(units, "pricing_unit", "left_semi")
 
     keys = LINE_KEYS + list(tags) + hour_keys
     aggs, out = _agg_and_output(tuple(tags), tuple(hour_keys))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from costlake.functions.cleaning import iso_date, iso_month, nonblank
 from costlake.functions.measures import davg, dsum, exact
+from costlake.sources.dims import small_side
 
 
 def _days_before(as_of: dt.date, days: int) -> str:
@@ -78,19 +79,19 @@ def storage_idle(fact: DataFrame, as_of: dt.date, max_growth: float = 0.0) -> Da
 
 # ---------------------------------------------------------------- G5-G7 tag mapping
 
-def env_mapping(fact: DataFrame, env_map: DataFrame, tag: str = "tag_env") -> DataFrame:
+def env_mapping(fact: DataFrame, env_map, tag: str = "tag_env") -> DataFrame:
     """Tag frequency with the curated clean value (``Unknown`` when unmapped)."""
     freq = fact.groupBy(F.col(tag)).agg(F.count(F.lit(1)).alias("row_count"), dsum("cost").alias("cost"))
-    m = F.broadcast(env_map.select(F.col("tag_env").alias("_raw"), F.col("environment")))
+    m = small_side(env_map).select(F.col("tag_env").alias("_raw"), F.col("environment"))
     return (freq.join(m, freq[tag] == F.col("_raw"), "left")
             .select(F.col(tag), F.coalesce(F.col("environment"), F.lit("Unknown")).alias("environment"),
                     "row_count", "cost"))
 
 
-def system_mapping(fact: DataFrame, system_map: DataFrame) -> DataFrame:
+def system_mapping(fact: DataFrame, system_map) -> DataFrame:
     """Synthetic ``system`` tag: the mapped system, else the service itself."""
     per = fact.groupBy("date_month", "tag_service").agg(dsum("cost").alias("cost"))
-    m = F.broadcast(system_map.select(F.col("tag_service").alias("_svc"), "tag_system"))
+    m = small_side(system_map).select(F.col("tag_service").alias("_svc"), "tag_system")
     return (per.join(m, per["tag_service"] == F.col("_svc"), "left")
             .select("date_month", F.col("tag_service").alias("service"),
                     F.coalesce(F.col("tag_system"), F.col("tag_service")).alias("system"), "cost"))
@@ -226,7 +227,7 @@ def driver_units_from_orders(orders: DataFrame) -> DataFrame:
                     .alias("driver", "units")))
 
 
-def driver_projection(fact: DataFrame, driver_map: DataFrame, units: DataFrame, as_of: dt.date,
+def driver_projection(fact: DataFrame, driver_map, units: DataFrame, as_of: dt.date,
                       history_months: int = 6, horizon: int = 6) -> DataFrame:
     """Cost per driver unit over the last months x forecast units of the coming months.
 
@@ -234,7 +235,7 @@ def driver_projection(fact: DataFrame, driver_map: DataFrame, units: DataFrame,
     same unit log.
     """
     first_hist = F.lit(as_of.strftime("%Y-%m"))
-    cost = (fact.join(F.broadcast(driver_map), "tag_service")
+    cost = (fact.join(small_side(driver_map), "tag_service")
             .groupBy("driver", "date_month").agg(dsum("cost").alias("cost")))
     hist = (cost.join(units, ["driver", "date_month"])
             .where((F.col("date_month") < first_hist) & (F.col("date_month") >= _month_add(first_hist, -history_months)))

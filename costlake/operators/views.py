@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from costlake.functions.measures import dsum, exact
 from costlake.operators.enrich import DAYS_PER_MONTH
+from costlake.sources.dims import small_side
 
 # ---------------------------------------------------------------- discount iceberg (V1-V6)
 
@@ -124,18 +125,18 @@ def months_back_text(as_of: dt.date, months: int) -> str:
     return f"{y:04d}-{m:02d}"
 
 
-def buying_efficiency(fact: DataFrame, options: DataFrame, as_of: dt.date, sort: bool = False) -> DataFrame:
+def buying_efficiency(fact: DataFrame, options, as_of: dt.date, sort: bool = False) -> DataFrame:
     """On-demand spend of the last three months on things that can be bought cheaper.
 
-    ``options`` is small and keyed (product, bucket); it is broadcast. A list-typed
+    ``options`` is keyed (product, bucket); a ``Dim`` is broadcast by its checked size. A list-typed
     ``buy_options`` is shown joined by ``, ``.
     """
-    opts = options
-    if isinstance(options.schema["buy_options"].dataType, T.ArrayType):
-        opts = options.withColumn("buy_options", F.array_join("buy_options", ", "))
+    opts = small_side(options)
+    if isinstance(opts.schema["buy_options"].dataType, T.ArrayType):
+        opts = opts.withColumn("buy_options", F.array_join("buy_options", ", "))
     # date text compared with month text: everything from the first day of that month on
     rows = fact.where((F.col("date") >= months_back_text(as_of, 3)) & (F.col("pricing_regime") == "OnDemand"))
-    out = (rows.join(F.broadcast(opts), ["product_code", "pricing_bucket"])
+    out = (rows.join(opts, ["product_code", "pricing_bucket"])
            .groupBy("date_month", "product_code", "pricing_regime", "pricing_bucket", "pricing_unit", "buy_options")
            .agg(dsum("cost").alias("_cost"))
            # the warehouse rounds double -> int, Spark truncates: round first (half-even, as rint)

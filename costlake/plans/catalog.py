@@ -17,6 +17,7 @@ from costlake.operators.clean import clean
 from costlake.plans.pipeline import FIXTURE_TAGS, fixture_pipeline
 from costlake.sources.contract import date_slice, months_back
 from costlake.sources.fixture import AS_OF, cur_from_lineitem
+from costlake.sources.dims import Dim
 from costlake.sources.local import local_table
 
 # Our own curated maps for the tag recipes (a user keeps these as small tables).
@@ -84,7 +85,7 @@ def q_cpu_ratecard_approx(spark, sf_dir):
 
 def q_buying_efficiency(spark, sf_dir):
     p = _p(spark, sf_dir)
-    return views.buying_efficiency(p.usage_daily(), p.dims.buying.df, AS_OF)
+    return views.buying_efficiency(p.usage_daily(), p.dims.buying, AS_OF)
 
 
 def q_wow_cost_movers(spark, sf_dir):
@@ -112,12 +113,12 @@ def _tagged_fact(spark, sf_dir):
 
 
 def q_env_mapping(spark, sf_dir):
-    env = local_table(spark, ENV_MAP, _schema("tag_env", "environment"))
+    env = Dim(local_table(spark, ENV_MAP, _schema("tag_env", "environment")), len(ENV_MAP))
     return recipes.env_mapping(_tagged_fact(spark, sf_dir), env)
 
 
 def q_system_mapping(spark, sf_dir):
-    m = local_table(spark, SYSTEM_MAP, _schema("tag_service", "tag_system"))
+    m = Dim(local_table(spark, SYSTEM_MAP, _schema("tag_service", "tag_system")), len(SYSTEM_MAP))
     return recipes.system_mapping(_tagged_fact(spark, sf_dir), m)
 
 
@@ -156,7 +157,7 @@ def q_growth_alerts(spark, sf_dir):
 
 def q_driver_projection(spark, sf_dir):
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
-    dm = local_table(spark, DRIVER_MAP, _schema("tag_service", "driver"))
+    dm = Dim(local_table(spark, DRIVER_MAP, _schema("tag_service", "driver")), len(DRIVER_MAP))
     return recipes.driver_projection(_tagged_fact(spark, sf_dir), dm, recipes.driver_units_from_orders(orders), AS_OF)
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from costlake.operators import facts
 from costlake.operators.clean import clean
 from costlake.operators.enrich import enrich
-from costlake.sources.dims import Dims, load_dims
+from costlake.sources.dims import Dim, Dims, load_dims
 from costlake.sources.fixture import AS_OF, cur_from_lineitem
 
 # the fixture's tag columns, as a user would name their own
@@ -43,7 +43,9 @@ class Pipeline:
         units = None
         if self.buckets:
             # only lines whose unit maps to the wanted buckets, dropped per line before the shuffle
-            units = self.dims.buckets.df.where(F.col("pricing_bucket").isin(*self.buckets)).select("pricing_unit")
+            # a subset of the bucket dimension: bounded by its checked row count
+            units = Dim(self.dims.buckets.df.where(F.col("pricing_bucket").isin(*self.buckets)).select("pricing_unit"),
+                        self.dims.buckets.rows)
         return clean(self.cur, self.tags, grain=self.grain, keep_units=units)
 
     def only(self, *buckets: str) -> "Pipeline":

@@ -166,6 +166,13 @@ class Dim:
         return F.broadcast(self.df) if self.rows <= BROADCAST_ROW_LIMIT else self.df
 
 
+def small_side(table) -> DataFrame:
+    """Join side for a lookup table: a ``Dim`` is broadcast when its checked row count allows;
+    a plain DataFrame (size unknown here) joins normally and AQE broadcasts it at run time
+    only if its measured size is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``."""
+    return table.joinable() if isinstance(table, Dim) else table
+
+
 @dataclass
 class Dims:
     accounts: Dim
