@@ -79,36 +79,61 @@ def discount_iceberg(bill: DataFrame, sort: bool = False) -> DataFrame:
 PERCENTILES = (0.25, 0.50, 0.75, 0.95)
 
 
-def cpu_ratecard(fact: DataFrame, as_of: dt.date, approx_accuracy: int | None = None, sort: bool = False) -> DataFrame:
-    """Per-vCPU-hour rates of EC2 compute over the last year.
+RATECARD_KEYS = ["date", "vendor_family", "compute_os", "compute_software", "compute_instance_type_family",
+                 "pricing_regime", "compute_processor_vendor"]
+EXACT_MAX_VALUES = 100_000
 
-    Exact percentiles (``percentile``) keep a count per distinct value of each group; pass
-    ``approx_accuracy`` to use ``percentile_approx`` when groups are too large for that.
-    """
+
+def ratecard_rows(fact: DataFrame, as_of: dt.date) -> DataFrame:
+    """EC2 compute rows of the last year with the rate-card keys and the unit rate ``_r``."""
     since = as_of.replace(year=as_of.year - 1) if not (as_of.month == 2 and as_of.day == 29) else as_of.replace(year=as_of.year - 1, day=28)
-    rows = fact.where((F.col("pricing_bucket") == "Compute") & (F.col("product_code") == "AmazonEC2")
-                      & (F.col("date") >= since.isoformat()))
-    unit_rate = F.try_divide(F.col("cost"), F.col("usage") * F.col("compute_processor_vcpu"))
-    if approx_accuracy is None:
-        pct = F.percentile(unit_rate, list(PERCENTILES))
+    return (fact.where((F.col("pricing_bucket") == "Compute") & (F.col("product_code") == "AmazonEC2")
+                       & (F.col("date") >= since.isoformat()))
+            .select("date",
+                    F.concat(F.coalesce(F.col("compute_processor_line"), F.lit("Unknown")), F.lit(": "),
+                             F.coalesce(F.col("compute_instance_type_family"), F.lit("??"))).alias("vendor_family"),
+                    "compute_os", "compute_software", "compute_instance_type_family", "pricing_regime",
+                    F.coalesce(F.col("compute_processor_vendor"), F.lit("Unknown")).alias("compute_processor_vendor"),
+                    "usage", "cost", (F.col("usage") * F.col("compute_processor_vcpu")).alias("_cpu"),
+                    F.try_divide(F.col("cost"), F.col("usage") * F.col("compute_processor_vcpu")).alias("_r")))
+
+
+def cpu_ratecard(fact: DataFrame, as_of: dt.date, approx_accuracy: int | None = None,
+                 exact_max_values: int | None = EXACT_MAX_VALUES, sort: bool = False) -> DataFrame:
+    """Per-vCPU-hour rates of EC2 compute over the last year, with percentiles of the unit rate.
+
+    Exact percentiles (``percentile``, linear interpolation) keep every value of a group in
+    one task. So groups are first counted (a skew-safe partial aggregate): groups of at
+    most ``exact_max_values`` values get the exact percentile; larger ones get
+    ``percentile_approx``, a bounded sketch merged map-side. ``approx_accuracy`` makes every
+    group approximate; ``exact_max_values=None`` makes every group exact.
+    """
+    rows = ratecard_rows(fact, as_of)
+    levels = list(PERCENTILES)
+    sums = (dsum("usage").alias("instance_hours"), dsum("cost").alias("cost"), dsum("_cpu").alias("cpu_hours"))
+
+    def exact(df):
+        return df.groupBy(*RATECARD_KEYS).agg(*sums, F.percentile("_r", levels).alias("_pct"))
+
+    def approx(df, accuracy):
+        return df.groupBy(*RATECARD_KEYS).agg(*sums, F.percentile_approx("_r", levels, accuracy).alias("_pct"))
+
+    if approx_accuracy is not None:
+        g = approx(rows, approx_accuracy)
+    elif exact_max_values is None:
+        g = exact(rows)
     else:
-        pct = F.percentile_approx(unit_rate, list(PERCENTILES), approx_accuracy)
-    g = rows.groupBy(
-        "date",
-        F.concat(F.coalesce(F.col("compute_processor_line"), F.lit("Unknown")), F.lit(": "),
-                 F.coalesce(F.col("compute_instance_type_family"), F.lit("??"))).alias("vendor_family"),
-        "compute_os", "compute_software", "compute_instance_type_family", "pricing_regime",
-        F.coalesce(F.col("compute_processor_vendor"), F.lit("Unknown")).alias("compute_processor_vendor"),
-    ).agg(
-        dsum("usage").alias("instance_hours"),
-        dsum("cost").alias("cost"),
-        dsum(F.col("usage") * F.col("compute_processor_vcpu")).alias("cpu_hours"),
-        pct.alias("_pct"),
-    )
+        # route each row by the size of its group (a partial aggregate, skew-safe); each row
+        # lands in exactly one branch. Keys may be null, hence the null-safe struct key.
+        sizes = rows.groupBy(*RATECARD_KEYS).agg(F.count("_r").alias("_n")).select(
+            F.struct(*RATECARD_KEYS).alias("_sk"), "_n")
+        routed = (rows.withColumn("_gk", F.struct(*RATECARD_KEYS))
+                  .join(sizes, on=F.col("_gk").eqNullSafe(F.col("_sk"))).drop("_gk", "_sk"))
+        g = exact(routed.where(F.col("_n") <= exact_max_values)).unionByName(
+            approx(routed.where(F.col("_n") > exact_max_values), 10_000))
     rate = F.try_divide(F.col("cost"), F.col("cpu_hours"))
     out = g.select(
-        "date", "vendor_family", "compute_os", "compute_software", "compute_instance_type_family", "pricing_regime",
-        "compute_processor_vendor", "instance_hours", "cost", "cpu_hours",
+        *RATECARD_KEYS, "instance_hours", "cost", "cpu_hours",
         rate.alias("rate"), (rate * 100).alias("rate_cents"),
         *[(F.col("_pct")[i].cast("double") * 100).alias(f"rate_cents_p{int(p * 100)}") for i, p in enumerate(PERCENTILES)],
     )

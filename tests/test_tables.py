@@ -46,3 +46,25 @@ def test_buying_options_as_array(spark):
     arr = text.withColumn("buy_options", F.split("buy_options", ", "))
     fact = p.usage_daily()
     assert rows(views.buying_efficiency(fact, arr, AS_OF)) == rows(views.buying_efficiency(fact, text, AS_OF))
+
+
+def test_ratecard_routes_large_groups_to_the_sketch(spark):
+    """Groups over the exact bound get percentile_approx; the others the exact percentile."""
+    fact = fixture_pipeline(spark, SF_SMALL).usage_daily()
+    keys = views.RATECARD_KEYS
+
+    def by_key(df):
+        return {tuple(r[k] for k in keys): r for r in df.collect()}
+
+    exact = by_key(views.cpu_ratecard(fact, AS_OF, exact_max_values=None))
+    approx = by_key(views.cpu_ratecard(fact, AS_OF, approx_accuracy=10_000))
+    hybrid = by_key(views.cpu_ratecard(fact, AS_OF, exact_max_values=1))
+    sizes = by_key(views.ratecard_rows(fact, AS_OF).groupBy(*keys).agg(F.count("_r").alias("n")))
+    assert hybrid.keys() == exact.keys()
+    assert any(r.n > 1 for r in sizes.values()) and any(r.n <= 1 for r in sizes.values())
+    for k, r in hybrid.items():
+        ref = exact[k] if sizes[k].n <= 1 else approx[k]
+        assert [r[f"rate_cents_p{p}"] for p in (25, 50, 75, 95)] == [ref[f"rate_cents_p{p}"] for p in (25, 50, 75, 95)]
+        assert r.cost == exact[k].cost and r.cpu_hours == exact[k].cpu_hours
+    # the two methods really differ on some multi-value group, so the routing is visible
+    assert any(exact[k].rate_cents_p50 != approx[k].rate_cents_p50 for k in hybrid if sizes[k].n > 1)
