@@ -80,3 +80,11 @@ def test_fact_filters_reach_the_scan(spark, cur_table):
     pushed = scan[scan.index("PushedFilters"):scan.index("ReadSchema")]
     assert "In(line_item_line_item_type, [DiscountedUsage,SavingsPlanCoveredUsage,Usage])" in pushed
     assert "PartitionFilters: [" in scan and "PartitionFilters: []" not in scan
+
+
+def test_stage00_combines_map_side_before_the_shuffle(spark, cur_table):
+    """A hot key (one account with a third of the lines) is folded per task before the exchange."""
+    p = plan(clean(spark.read.parquet(cur_table)))
+    exchange = p.index("Exchange hashpartitioning")
+    partial = p.find("partial_sum", exchange)       # plan text lists the consumer first
+    assert partial > exchange, "expected a partial (map-side) aggregate below the stage-00 exchange"
