@@ -79,12 +79,14 @@ def spread_small_input(df: DataFrame) -> DataFrame:
 
     A CUR drop on a cluster is many files and row groups, so its scan is already wide and
     this is a no-op. A single-row-group file (tests, small accounts) would otherwise run all
-    of the per-line cleaning in one task; a round-robin repartition of the pruned scan
-    spreads it. Only planning is needed to decide (no job runs).
+    of the per-line cleaning in one task; a hash repartition of the pruned scan spreads it.
+    Only planning is needed to decide (no job runs).
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
+        # hash of the whole row: even, and deterministic on a retry without the local sort a
+        # round-robin repartition needs
+        return df.repartition(cores, *df.columns)
     return df
 
 
