@@ -25,6 +25,13 @@ USAGE_TYPES = ("SavingsPlanCoveredUsage", "DiscountedUsage", "Usage")
 
 
 def discount_iceberg(bill: DataFrame, sort: bool = False) -> DataFrame:
+    """Net charges against each discount class per month (V1-V6), with shares.
+
+    Charges are accrual cost; discounts (EDP, private rate, credits, savings-plan negation,
+    reserved-instance savings rebuilt from public minus pre-EDP cost) stay negative.
+    ``percent_of_type`` divides by the month's total of the same sign class,
+    ``percent_of_total`` by the month's total of absolute values.
+    """
     aws = bill.where(F.col("billing_entity") == "AWS")
     charged = aws.groupBy(*ICEBERG_KEYS).agg(
         dsum("accrual_cost").alias("accrual_cost"), dsum("unblended_cost").alias("unblended_cost"),
