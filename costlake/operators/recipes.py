@@ -252,15 +252,16 @@ def driver_projection(fact: DataFrame, driver_map, units: DataFrame, as_of: dt.d
 
 
 def _compound(growth, n):
-    """(1 + growth)^n as n ordered multiplications (reproducible, unlike a library pow)."""
-    return F.aggregate(F.sequence(F.lit(1), n), F.lit(1.0), lambda acc, _: acc * (F.lit(1.0) + growth))
+    """(1 + growth)^n as n ordered multiplications (reproducible, unlike a library pow); 1 for n = 0."""
+    return F.when(n == 0, F.lit(1.0)).otherwise(
+        F.aggregate(F.sequence(F.lit(1), n), F.lit(1.0), lambda acc, _: acc * (F.lit(1.0) + growth)))
 
 
 def growth_projection(fact: DataFrame, as_of: dt.date, lookback: int = 6, horizon: int = 12) -> DataFrame:
     """Compounding projection per pricing bucket, plus a back-test one year earlier.
 
     Growth g is the mean monthly growth over ``lookback`` months before the base month;
-    cost(base + n) = cost(base) * (1 + g)^n. The back-test starts ``horizon`` months earlier
+    cost(base + n) = cost(base) * (1 + g)^n for n = 0 .. horizon-1. The back-test starts ``horizon`` months earlier
     and carries the actual cost of each projected month. One conditional aggregate picks
     the four anchor months per bucket.
     """
@@ -284,7 +285,8 @@ def growth_projection(fact: DataFrame, as_of: dt.date, lookback: int = 6, horizo
          .where(F.col("base_cost").isNotNull() & F.col("old_cost").isNotNull())
          .select("kind", "pricing_bucket", "base_month", "base_cost",
                  (F.try_divide(F.col("base_cost") - F.col("old_cost"), F.col("old_cost")) / lookback).alias("growth")))
-    proj = (g.select("*", F.explode(F.sequence(F.lit(1), F.lit(horizon))).alias("n"))
+    # n = 0 .. horizon-1: the base month itself, then the months after it
+    proj = (g.select("*", F.explode(F.sequence(F.lit(0), F.lit(horizon - 1))).alias("n"))
             .select("kind", "pricing_bucket", "base_month", "growth", "n",
                     iso_month(F.add_months(F.to_date(F.concat("base_month", F.lit("-01"))), F.col("n"))).alias("date_month"),
                     (F.col("base_cost") * _compound(F.col("growth"), F.col("n"))).alias("projected_cost")))
