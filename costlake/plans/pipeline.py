@@ -34,6 +34,7 @@ class Pipeline:
     tags: Mapping[str, str] = field(default_factory=dict)
     grain: str = "day"
     buckets: tuple[str, ...] = ()
+    resource_tags: tuple[str, ...] = ()      # tag columns naming an instance's group (C4)
 
     def __post_init__(self):
         if self.dims is None:
@@ -46,11 +47,13 @@ class Pipeline:
             # a subset of the bucket dimension: bounded by its checked row count
             units = Dim(self.dims.buckets.df.where(F.col("pricing_bucket").isin(*self.buckets)).select("pricing_unit"),
                         self.dims.buckets.rows)
-        return clean(self.cur, self.tags, grain=self.grain, keep_units=units)
+        return clean(self.cur, self.tags, resource_tag_fallbacks=self.resource_tags, grain=self.grain,
+                     keep_units=units)
 
     def only(self, *buckets: str) -> "Pipeline":
         """The same pipeline restricted to lines of the given pricing buckets."""
-        return Pipeline(self.spark, self.cur, self.as_of, self.dims, self.tags, self.grain, tuple(buckets))
+        return Pipeline(self.spark, self.cur, self.as_of, self.dims, self.tags, self.grain, tuple(buckets),
+                        self.resource_tags)
 
     def stage01(self) -> DataFrame:
         carry = list(self.tags) + (["hour"] if self.grain == "hour" else [])
@@ -97,7 +100,7 @@ def build_incremental(p: Pipeline, usage_path: str, bill_path: str, days: int =
     from costlake.sources.contract import months_back, restatement_months
 
     cur = months_back(p.cur, p.as_of, restatement_months(p.as_of, days))
-    window = Pipeline(p.spark, cur, p.as_of, p.dims, p.tags, p.grain, p.buckets)
+    window = Pipeline(p.spark, cur, p.as_of, p.dims, p.tags, p.grain, p.buckets, p.resource_tags)
     s01 = materialize(window.stage01(), "stage01-window")
     dropped_days = restate(facts.usage_incremental(s01, p.as_of, days), usage_path, "date",
                            facts.restate_start(p.as_of, days))
