@@ -93,12 +93,15 @@ _SEG = r"[a-zA-Z0-9_\-]+"
 def resource_name(rid: Column, tag_fallbacks: Sequence[Column] = ()) -> Column:
     """Readable resource: kind/name from ARNs, instances folded into a tag (or ''), UUIDs masked."""
     folded = F.coalesce(*[nonblank(t) for t in tag_fallbacks], F.lit(None).cast("string"))
+    # each guard is a literal its arm's regex needs anyway: it only skips hopeless regex runs
+    colon = rid.contains(":")
     picked = (
         F.when(is_blank(rid), F.lit(""))
-        .when(rid.rlike(INSTANCE_OR_VOLUME), folded)
-        .when(rid.rlike(f":(?:{COLON_SLASH_KINDS})/"), extract(rid, f":({_SEG}:?/{_SEG})"))
-        .when(rid.rlike(":(?:loadbalancer|repository)/"), extract(rid, f":({_SEG}/{_SEG}/{_SEG})"))
-        .when(rid.rlike(f"^arn:{_SEG}:{_SEG}:{_SEG}:[0-9]+:.+$"), extract(rid, f"^arn:{_SEG}:{_SEG}:{_SEG}:[0-9]+:(.+)$"))
+        .when((rid.contains("i-") | rid.contains("vol-")) & rid.rlike(INSTANCE_OR_VOLUME), folded)
+        .when(colon & rid.rlike(f":(?:{COLON_SLASH_KINDS})/"), extract(rid, f":({_SEG}:?/{_SEG})"))
+        .when(colon & rid.rlike(":(?:loadbalancer|repository)/"), extract(rid, f":({_SEG}/{_SEG}/{_SEG})"))
+        .when(rid.startswith("arn:") & rid.rlike(f"^arn:{_SEG}:{_SEG}:{_SEG}:[0-9]+:.+$"),
+              extract(rid, f"^arn:{_SEG}:{_SEG}:{_SEG}:[0-9]+:(.+)$"))
         .otherwise(rid)
     )
     return F.coalesce(F.regexp_replace(picked, UUID, "<UUID>"), F.lit(""))
