@@ -16,7 +16,8 @@ def test_cli_full_incremental_view(spark, tmp_path):
     assert days[0] >= "1999-07-31" and days[-1] <= "2001-07-31"
     def rows(path):
         df = read_table(spark, path)
-        return sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.collect())
+        out = [tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.collect()]
+        return sorted(out, key=lambda t: tuple((x is None, str(x)) for x in t))
 
     before_usage, before_bill = rows(usage), rows(bill)
     res = main(["incremental", *common], spark)
