@@ -29,7 +29,7 @@ FIXTURE_TAGS = {"tag_env": "resource_tags_user_env", "tag_service": "resource_ta
 class Pipeline:
     spark: SparkSession
     cur: DataFrame
-    as_of: dt.date = AS_OF
+    as_of: dt.date                           # the day the run stands on (the SQL's current_date)
     dims: Dims | None = None
     tags: Mapping[str, str] = field(default_factory=dict)
     grain: str = "day"
