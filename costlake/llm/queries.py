@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from costlake.llm import toxicity
+from costlake.llm import pii, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op9_pii": pii.op9,
     "op10_toxicity": toxicity.op10,
 }
 SQL: dict[str, str] = {}
