@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from costlake.llm import pii, toxicity
+from costlake.llm import bpe, packing, pii, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_bpe": bpe.op4,
+    "op5_packing": packing.op5,
     "op9_pii": pii.op9,
     "op10_toxicity": toxicity.op10,
 }
