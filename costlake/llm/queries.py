@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from costlake.llm import ann, bpe, imatch, packing, pii, toxicity
+from costlake.llm import ann, bpe, imatch, langid, packing, pii, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ann": ann.op2,
+    "op3_langid": langid.op3,
     "op4_bpe": bpe.op4,
     "op5_packing": packing.op5,
     "op7_imatch": imatch.op7,
