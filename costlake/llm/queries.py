@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from costlake.llm import ann, bpe, imatch, langid, packing, pii, toxicity
+from costlake.llm import ann, bpe, imatch, jaccard, langid, packing, pii, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ann": ann.op2,
@@ -14,7 +14,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bpe": bpe.op4,
     "op5_packing": packing.op5,
     "op7_imatch": imatch.op7,
+    "op8_jaccard": jaccard.op8,
     "op9_pii": pii.op9,
     "op10_toxicity": toxicity.op10,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op8_jaccard": jaccard.SQL,
+}
