@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from costlake.llm import ann, bpe, imatch, jaccard, langid, packing, pii, toxicity
+from costlake.llm import ann, bpe, imatch, jaccard, langid, packing, pii, suffix, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix": suffix.op1,
     "op2_ann": ann.op2,
     "op3_langid": langid.op3,
     "op4_bpe": bpe.op4,
