@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from costlake.llm import ann, bpe, imatch, jaccard, langid, packing, pii, suffix, toxicity
+from costlake.llm import ann, bpe, chaining, imatch, jaccard, langid, packing, pii, suffix, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix": suffix.op1,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_langid": langid.op3,
     "op4_bpe": bpe.op4,
     "op5_packing": packing.op5,
+    "op6_chaining": chaining.op6,
     "op7_imatch": imatch.op7,
     "op8_jaccard": jaccard.op8,
     "op9_pii": pii.op9,
