@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from costlake.llm.common import ensure_checkpoint_dir, mix64, table, task_count, texts
@@ -302,6 +302,22 @@ def join(docs: DataFrame) -> DataFrame:
     return placed.join(first, "comp", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def keep_first(docs: DataFrame) -> DataFrame:
+    """One document of each component, the one with the smallest doc_id, with all its columns.
+
+    Rows of one id are one document; where there are several, the one with the smallest text
+    hash stays. Rows without an id stay if nothing with an id is like them.
+    """
+    found = join(docs).checkpoint()
+    gone = found.filter("component_id is not null and not (doc_id <=> component_id)").select(F.col("doc_id").alias("__gone")).distinct()
+    side = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
+    kept = docs.join(side, F.col("doc_id").cast("long").eqNullSafe(F.col("__gone")), "leftanti")
+    if found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
+        return kept
+    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
+    return kept.withColumn("__nth", F.row_number().over(order)).filter("__nth = 1 or doc_id is null").drop("__nth")
+
+
 def op8(spark, sf_dir: str) -> DataFrame:
     return join(table(spark, sf_dir, "documents"))
 

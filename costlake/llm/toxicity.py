@@ -33,7 +33,9 @@ REPORTING = frozenset(
 )
 SECOND_PERSON = frozenset("you your youre du dich dir dein deine ihr tu toi ton vous votre usted tú eres vosotros".split())
 OPEN_QUOTES, CLOSE_QUOTES, PLAIN_QUOTES = "“„«‹", "”»›", '"'
-FEATURES = ("exact", "fuzzy", "quoted", "addressed", "density")
+FEATURES = ("abuse", "quoted", "addressed", "density")
+#: What a misspelled term counts beside one spelled right.
+MISSPELLED = 0.8
 
 
 def edits_allowed(length: int) -> int:
@@ -151,7 +153,7 @@ def _quoted(text: str, start: int, end: int) -> bool:
 
 
 def features(text: str | None, automaton: TermAutomaton, cache: dict[str, int | None]) -> list[float]:
-    """Counts of exact, misspelled, quoted and addressed terms (log scaled) and their share of the words."""
+    """Counts of terms meant as abuse, of quoted and of addressed ones (log scaled), and the first kind's share of the words."""
     low = (text or "").lower()
     words = WORD.findall(low)
     hits = []
@@ -175,7 +177,7 @@ def features(text: str | None, automaton: TermAutomaton, cache: dict[str, int |
         fuzzy += e > 0
         addressed += not SECOND_PERSON.isdisjoint(around)
     n = exact + fuzzy
-    return [math.log1p(exact), math.log1p(fuzzy), math.log1p(quoted), math.log1p(addressed), min(1.0, 20.0 * n / len(words))]
+    return [math.log1p(exact + MISSPELLED * fuzzy), math.log1p(quoted), math.log1p(addressed), min(1.0, 20.0 * n / len(words))]
 
 
 def learn_terms(labelled: DataFrame, n_toxic: int) -> list[str]:
@@ -280,6 +282,22 @@ def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
     return measured(texts(docs), model.terms).select("doc_id", s.alias("score"), F.when(s >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
+def keep_clean(docs: DataFrame, model: ToxicityModel) -> DataFrame:
+    """The rows whose score is under 0.5, with all their columns as they were."""
+    terms, weights = list(model.terms), np.array(model.weights)
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton, cache = TermAutomaton(terms), {}
+        for b in batches:
+            if len(cache) > 500_000:
+                cache.clear()
+            x = np.array([features(t.as_py(), automaton, cache) for t in b.column(at)], dtype=float).reshape(b.num_rows, len(FEATURES))
+            yield b.filter(pa.array(weights[0] + x @ weights[1:] < 0))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def remainder(n: int):
     """crc32 of the id as text, modulo n."""
     return F.crc32(F.col("doc_id").cast("string")) % n
