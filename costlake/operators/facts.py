@@ -82,11 +82,12 @@ def bill(stage01: DataFrame, since_month: str) -> DataFrame:
         F.col("cost_without_edp"), F.col("public_cost"),
     )
     measures = ["cost", "usage", "unblended_cost", "net_unblended_cost", "cost_without_edp", "public_cost"]
-    # One aggregate, one shuffle. count(distinct date) is size(collect_set(date)): date_month
-    # is a key, so a set holds at most 31 dates and partial sets merge map-side.
+    # One hash aggregate, one shuffle. date_month is a key, so the distinct days of a group
+    # are the bits of one integer.
+    day = F.dayofmonth(F.to_date("date"))
     monthly = rows.groupBy(*BILL_DIMS).agg(
         *[xsum(m).alias(m) for m in measures],
-        F.size(F.collect_set("date")).cast("int").alias("days_in_month"),
+        F.bit_count(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), day))).cast("int").alias("days_in_month"),
     )
     d = lambda m: F.col(m).cast("double")
     return monthly.select(*BILL_DIMS, d("cost").alias("accrual_cost"), d("usage").alias("usage"),

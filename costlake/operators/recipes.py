@@ -53,16 +53,11 @@ def _storage_summary(deltas: DataFrame) -> DataFrame:
         davg("percent_delta").alias("avg_percent"),
         F.max_by("tb", "date").alias("total_tb"),
         F.max_by("cost", "date").alias("cost"),
-        dsum("delta_tb").alias("_sx"),
-        dsum(F.col("delta_tb") * F.col("delta_tb")).alias("_sxx"),
-        F.count("delta_tb").cast("double").alias("_n"),
+        # rounded far below any size: a merged moment's last bits depend on the task order
+        F.round(F.stddev_samp("delta_tb"), 12).alias("stddev_delta"),
         F.percentile("delta_tb", 0.5).alias("median_delta"),
     )
-    # sample standard deviation from exact sums (reproducible, unlike a merged running moment)
-    var = F.try_divide(F.col("_sxx") - F.try_divide(F.col("_sx") * F.col("_sx"), F.col("_n")), F.col("_n") - 1)
-    return g.select("s3_bucket", "avg_delta", "avg_percent", "total_tb", "cost",
-                    F.when(F.col("_n") > 1, F.sqrt(F.greatest(var, F.lit(0.0)))).alias("stddev_delta"),
-                    "median_delta")
+    return g.select("s3_bucket", "avg_delta", "avg_percent", "total_tb", "cost", "stddev_delta", "median_delta")
 
 
 def storage_growth(fact: DataFrame, as_of: dt.date, top: int = 50) -> DataFrame:
@@ -138,9 +133,9 @@ def work_log_from_orders(orders: DataFrame) -> DataFrame:
 
 
 def unit_cost(fact: DataFrame, work_log: DataFrame) -> DataFrame:
-    """Cost per transaction: equi-join of daily service cost and the work log."""
+    """Cost per transaction: daily service cost beside the work log; cost without transactions stays, with a null ratio."""
     cost = fact.groupBy("date", F.col("tag_service").alias("service")).agg(dsum("cost").alias("cost"))
-    return (cost.join(work_log, ["date", "service"])
+    return (cost.join(work_log, ["date", "service"], "left")
             .select("date", "service", "cost", "transactions",
                     F.try_divide(F.col("cost"), F.col("transactions").cast("double")).alias("cost_per_transaction")))
 
@@ -262,44 +257,42 @@ def growth_projection(fact: DataFrame, as_of: dt.date, lookback: int = 6, horizo
 
     Growth g is the mean monthly growth over ``lookback`` months before the base month;
     cost(base + n) = cost(base) * (1 + g)^n for n = 0 .. horizon-1. The back-test starts ``horizon`` months earlier
-    and carries the actual cost of each projected month. One conditional aggregate picks
-    the four anchor months per bucket.
+    and carries the actual cost of each projected month. The months of a bucket travel as
+    one small map, so the fact is read once. A bucket without an anchor month stays, with
+    null growth and null projections.
     """
     monthly = fact.groupBy("pricing_bucket", "date_month").agg(dsum("cost").alias("cost"))
+    months = monthly.groupBy("pricing_bucket").agg(
+        F.map_from_entries(F.collect_list(F.struct("date_month", "cost"))).alias("by_month"))
     base = (as_of.replace(day=1) - dt.timedelta(days=1)).strftime("%Y-%m")     # last complete month
     kinds = [("forecast", 0), ("backtest", -horizon)]
-    m = F.col("date_month")
 
     def at(month_shift):
-        return F.max(F.when(m == _month_add(F.lit(base), month_shift), F.col("cost")))
+        return F.try_element_at("by_month", _month_add(F.lit(base), month_shift))
 
-    anchors = monthly.groupBy("pricing_bucket").agg(
-        *[at(shift).alias(f"{kind}_base") for kind, shift in kinds],
-        *[at(shift - lookback).alias(f"{kind}_old") for kind, shift in kinds])
     starts = F.explode(F.array(*[
         F.struct(F.lit(kind).alias("kind"), _month_add(F.lit(base), shift).alias("base_month"),
-                 F.col(f"{kind}_base").alias("base_cost"), F.col(f"{kind}_old").alias("old_cost"))
+                 at(shift).alias("base_cost"), at(shift - lookback).alias("old_cost"))
         for kind, shift in kinds])).alias("s")
-    g = (anchors.select("pricing_bucket", starts)
-         .select("pricing_bucket", "s.*")
-         .where(F.col("base_cost").isNotNull() & F.col("old_cost").isNotNull())
-         .select("kind", "pricing_bucket", "base_month", "base_cost",
+    g = (months.select("pricing_bucket", "by_month", starts)
+         .select("pricing_bucket", "by_month", "s.*")
+         .select("kind", "pricing_bucket", "by_month", "base_month", "base_cost",
                  (F.try_divide(F.col("base_cost") - F.col("old_cost"), F.col("old_cost")) / lookback).alias("growth")))
     # n = 0 .. horizon-1: the base month itself, then the months after it
     proj = (g.select("*", F.explode(F.sequence(F.lit(0), F.lit(horizon - 1))).alias("n"))
-            .select("kind", "pricing_bucket", "base_month", "growth", "n",
+            .select("kind", "pricing_bucket", "by_month", "base_month", "growth", "n",
                     iso_month(F.add_months(F.to_date(F.concat("base_month", F.lit("-01"))), F.col("n"))).alias("date_month"),
                     (F.col("base_cost") * _compound(F.col("growth"), F.col("n"))).alias("projected_cost")))
-    actual = monthly.select("pricing_bucket", "date_month", F.col("cost").alias("actual_cost"))
-    return proj.join(actual, ["pricing_bucket", "date_month"], "left")
+    return proj.withColumn("actual_cost", F.try_element_at("by_month", F.col("date_month"))).drop("by_month")
 
 
 # ---------------------------------------------------------------- G17
 
 def reconcile(cur: DataFrame, bill: DataFrame, since_month: str, tolerance: float = 0.01) -> DataFrame:
-    """Tie the bill to the raw lines per month: totals, difference, and the lines C1 dropped.
+    """Tie the bill to all raw lines per month: totals, difference, and what C1 dropped, in lines and dollars.
 
-    One aggregate over the raw lines gives the billable total and both dropped-line counts.
+    ``source_total`` sums every raw line; the difference and the tolerance are against it, so
+    dollars that the cleaning drops show. One aggregate over the raw lines gives it all.
     """
     lt = F.col("line_item_line_item_type")
     rate = F.col("pricing_public_on_demand_rate")
@@ -307,13 +300,39 @@ def reconcile(cur: DataFrame, bill: DataFrame, since_month: str, tolerance: floa
     billable = ~free                         # null (Usage with a null rate) is dropped too
     src = (cur.groupBy(iso_month(F.col("line_item_usage_start_date")).alias("date_month"))
            .agg(F.sum(F.when(billable, F.col("line_item_unblended_cost"))).cast("double").alias("source_unblended"),
+                F.sum("line_item_unblended_cost").cast("double").alias("source_total"),
+                F.sum(F.when(free, F.col("line_item_unblended_cost"))).cast("double").alias("dropped_free_cost"),
+                F.sum(F.when((lt == "Usage") & rate.isNull(), F.col("line_item_unblended_cost"))).cast("double").alias("dropped_null_rate_cost"),
                 F.count(F.when(billable, F.lit(1))).alias("source_lines"),
                 F.count(F.when(free, F.lit(1))).alias("dropped_free_lines"),
                 F.count(F.when((lt == "Usage") & rate.isNull(), F.lit(1))).alias("dropped_null_rate_lines")))
     b = bill.groupBy("date_month").agg(dsum("unblended_cost").alias("bill_unblended"))
     j = src.join(b, "date_month", "full_outer").where(F.col("date_month") >= since_month)
-    diff = F.coalesce(F.col("bill_unblended"), F.lit(0.0)) - F.coalesce(F.col("source_unblended"), F.lit(0.0))
-    pct = F.try_divide(F.abs(diff), F.abs(F.col("source_unblended")))
-    return j.select("date_month", "source_unblended", "bill_unblended", diff.alias("diff"), pct.alias("pct_diff"),
+    diff = F.coalesce(F.col("bill_unblended"), F.lit(0.0)) - F.coalesce(F.col("source_total"), F.lit(0.0))
+    pct = F.try_divide(F.abs(diff), F.abs(F.col("source_total")))
+    return j.select("date_month", "source_total", "source_unblended", "bill_unblended", "dropped_free_cost",
+                    "dropped_null_rate_cost", diff.alias("diff"), pct.alias("pct_diff"),
                     (F.coalesce(pct, F.lit(1.0)) <= tolerance).alias("within_tolerance"),
                     "source_lines", "dropped_free_lines", "dropped_null_rate_lines")
+
+
+def reconcile_daily(cur: DataFrame, fact: DataFrame, since: str, tolerance: float = 0.01) -> DataFrame:
+    """Tie the daily fact to the raw lines per day, in unblended dollars.
+
+    The fact holds usage lines with positive usage and cost; ``other_cost`` is what the day's
+    raw lines of other types cost (fees, tax, credits), ``diff`` the fact less the raw usage
+    lines, dropped ones included.
+    """
+    lt = F.col("line_item_line_item_type")
+    used = lt.isin("SavingsPlanCoveredUsage", "DiscountedUsage", "Usage")
+    cost = F.col("line_item_unblended_cost")
+    src = (cur.groupBy(iso_date(F.col("line_item_usage_start_date")).alias("date"))
+           .agg(F.sum(F.when(used, cost)).cast("double").alias("source_usage_cost"),
+                F.sum(F.when(~used, cost)).cast("double").alias("other_cost"),
+                F.count(F.when(used, F.lit(1))).alias("source_usage_lines")))
+    kept = fact.groupBy("date").agg(dsum("unblended_cost").alias("fact_unblended"), F.sum("record_cnt").alias("fact_lines"))
+    j = src.join(kept, "date", "full_outer").where(F.col("date") >= since)
+    diff = F.coalesce(F.col("fact_unblended"), F.lit(0.0)) - F.coalesce(F.col("source_usage_cost"), F.lit(0.0))
+    pct = F.try_divide(F.abs(diff), F.abs(F.col("source_usage_cost")))
+    return j.select("date", "source_usage_cost", "other_cost", "fact_unblended", diff.alias("diff"),
+                    (F.coalesce(pct, F.lit(1.0)) <= tolerance).alias("within_tolerance"), "source_usage_lines", "fact_lines")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from costlake.functions.measures import dsum, exact
+from costlake.functions.measures import dsum, exact, xsum
 from costlake.operators.enrich import DAYS_PER_MONTH
 from costlake.sources.dims import small_side
 
@@ -32,22 +32,23 @@ def discount_iceberg(bill: DataFrame, sort: bool = False) -> DataFrame:
     ``percent_of_type`` divides by the month's total of the same sign class,
     ``percent_of_total`` by the month's total of absolute values.
     """
-    aws = bill.where(F.col("billing_entity") == "AWS")
-    charged = aws.groupBy(*ICEBERG_KEYS).agg(
-        dsum("accrual_cost").alias("accrual_cost"), dsum("unblended_cost").alias("unblended_cost"),
-        dsum("public_cost").alias("public_cost"))
     lt = F.col("line_item_type")
-    # RI savings as negative rows; EDP applies after the RI, so add it back (no double count)
-    ri = (aws.where(lt.isin("DiscountedUsage", "RiVolumeDiscount"))
-          .groupBy("date_month", "pricing_bucket", "billing_entity", "product_code", "product_description")
-          .agg(dsum("accrual_cost").alias("accrual_cost"),
-               dsum(F.when(lt == "DiscountedUsage", -(F.col("public_cost") - F.col("cost_without_edp")))
-                    .otherwise(F.col("unblended_cost"))).alias("unblended_cost"),
-               dsum("public_cost").alias("public_cost"))
-          .withColumn("bill_line", F.lit("Reserved Instances"))
-          .withColumn("line_item_type", F.lit("RiDiscount")))
-    # the two sides cannot share a row (line_item_type differs), so a plain union is the set union
-    both = charged.unionByName(ri)
+    # what a reservation saved: public price less the price before EDP (EDP applies after it)
+    saved = F.when(lt == "DiscountedUsage", F.col("cost_without_edp") - F.col("public_cost")).when(
+        lt == "RiVolumeDiscount", F.col("unblended_cost"))
+    # the bill is read once: each group carries its charge row and, if it has one, its part of
+    # the reservations' row, which a second, small aggregate puts together
+    grouped = bill.where(F.col("billing_entity") == "AWS").groupBy(*ICEBERG_KEYS).agg(
+        xsum("accrual_cost").alias("accrual_cost"), xsum("unblended_cost").alias("unblended_cost"),
+        xsum(saved).alias("saved"))
+    reserved = lt.isin("DiscountedUsage", "RiVolumeDiscount")
+    charge = F.struct(F.col("bill_line"), lt.alias("line_item_type"), F.col("accrual_cost"), F.col("unblended_cost"))
+    relief = F.struct(F.lit("Reserved Instances").alias("bill_line"), F.lit("RiDiscount").alias("line_item_type"),
+                      F.col("accrual_cost"), F.col("saved").alias("unblended_cost"))
+    keys = ["date_month", "pricing_bucket", "billing_entity", "product_code", "product_description"]
+    both = (grouped.select(*keys, F.explode(F.when(reserved, F.array(charge, relief)).otherwise(F.array(charge))).alias("r"))
+            .groupBy(*keys, F.col("r.bill_line").alias("bill_line"), F.col("r.line_item_type").alias("line_item_type"))
+            .agg(dsum("r.accrual_cost").alias("accrual_cost"), dsum("r.unblended_cost").alias("unblended_cost")))
     bl = F.col("bill_line")
     iceberg_cost = (F.when(bl == "Reserved Instances", F.col("unblended_cost"))
                     .when(lt.isin(*NEGATIVE_TYPES), F.col("unblended_cost"))
@@ -63,11 +64,8 @@ def discount_iceberg(bill: DataFrame, sort: bool = False) -> DataFrame:
         F.to_timestamp_ntz(F.concat(F.col("date_month"), F.lit("-01"))).alias("date_month"),
         iceberg_line.alias("iceberg_bill_line"), "product_code", "product_description",
         iceberg_cost.alias("iceberg_cost"))
-    # One exchange by month: the final aggregate and both whole-partition sums then run in
-    # place. A month holds bill lines (products x lines), not raw lines, so it stays small.
     final = (calced.withColumn("iceberg_type", F.when(F.col("iceberg_cost") >= 0, F.lit("Net Charges"))
                                .otherwise(F.lit("Discounts")))
-             .repartition("date_month")
              .groupBy("date_month", "iceberg_bill_line", "product_code", "product_description", "iceberg_type")
              .agg(dsum("iceberg_cost").alias("iceberg_cost"))
              .where(F.col("iceberg_cost") != 0))
@@ -88,7 +86,6 @@ PERCENTILES = (0.25, 0.50, 0.75, 0.95)
 
 RATECARD_KEYS = ["date", "vendor_family", "compute_os", "compute_software", "compute_instance_type_family",
                  "pricing_regime", "compute_processor_vendor"]
-EXACT_MAX_VALUES = 100_000
 
 
 def ratecard_rows(fact: DataFrame, as_of: dt.date) -> DataFrame:
@@ -105,44 +102,47 @@ def ratecard_rows(fact: DataFrame, as_of: dt.date) -> DataFrame:
                     F.try_divide(F.col("cost"), F.col("usage") * F.col("compute_processor_vcpu")).alias("_r")))
 
 
-def cpu_ratecard(fact: DataFrame, as_of: dt.date, approx_accuracy: int | None = None,
-                 exact_max_values: int | None = EXACT_MAX_VALUES, sort: bool = False) -> DataFrame:
+def cpu_ratecard(fact: DataFrame, as_of: dt.date, approx_accuracy: int | None = None, sort: bool = False) -> DataFrame:
     """Per-vCPU-hour rates of EC2 compute over the last year, with percentiles of the unit rate.
 
-    Exact percentiles (``percentile``, linear interpolation) keep every value of a group in
-    one task. So groups are first counted (a skew-safe partial aggregate): groups of at
-    most ``exact_max_values`` values get the exact percentile; larger ones get
-    ``percentile_approx``, a bounded sketch merged map-side. ``approx_accuracy`` makes every
-    group approximate; ``exact_max_values=None`` makes every group exact.
+    Percentiles are exact at every size, with linear interpolation: rates are first counted
+    per group and value (partial sums before the shuffle), then a running count over the
+    sorted values, which spills, picks the ranks. ``approx_accuracy`` asks for
+    ``percentile_approx``, a bounded sketch, instead.
     """
     rows = ratecard_rows(fact, as_of)
     levels = list(PERCENTILES)
-    sums = (dsum("usage").alias("instance_hours"), dsum("cost").alias("cost"), dsum("_cpu").alias("cpu_hours"))
-
-    def exact(df):
-        return df.groupBy(*RATECARD_KEYS).agg(*sums, F.percentile("_r", levels).alias("_pct"))
-
-    def approx(df, accuracy):
-        return df.groupBy(*RATECARD_KEYS).agg(*sums, F.percentile_approx("_r", levels, accuracy).alias("_pct"))
-
     if approx_accuracy is not None:
-        g = approx(rows, approx_accuracy)
-    elif exact_max_values is None:
-        g = exact(rows)
+        g = rows.groupBy(*RATECARD_KEYS).agg(
+            dsum("usage").alias("instance_hours"), dsum("cost").alias("cost"), dsum("_cpu").alias("cpu_hours"),
+            F.percentile_approx("_r", levels, approx_accuracy).alias("_pct"))
+        pct = [F.col("_pct")[i].cast("double") for i in range(len(levels))]
     else:
-        # route each row by the size of its group (a partial aggregate, skew-safe); each row
-        # lands in exactly one branch. Keys may be null, hence the null-safe struct key.
-        sizes = rows.groupBy(*RATECARD_KEYS).agg(F.count("_r").alias("_n")).select(
-            F.struct(*RATECARD_KEYS).alias("_sk"), "_n")
-        routed = (rows.withColumn("_gk", F.struct(*RATECARD_KEYS))
-                  .join(sizes, on=F.col("_gk").eqNullSafe(F.col("_sk"))).drop("_gk", "_sk"))
-        g = exact(routed.where(F.col("_n") <= exact_max_values)).unionByName(
-            approx(routed.where(F.col("_n") > exact_max_values), 10_000))
+        values = rows.groupBy(*RATECARD_KEYS, "_r").agg(xsum("usage").alias("usage"), xsum("cost").alias("cost"),
+                                                        xsum("_cpu").alias("_cpu"), F.count("_r").alias("_c"))
+        group = Window.partitionBy(*RATECARD_KEYS)
+        upto = group.orderBy("_r").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        ranked = values.withColumns({"_upto": F.sum("_c").over(upto), "_n": F.sum("_c").over(group)})
+
+        def at(rank):       # the value that holds a rank, counted from 0
+            return F.max(F.when((F.col("_upto") > rank) & (F.col("_upto") - F.col("_c") <= rank), F.col("_r")))
+
+        picks = []
+        for i, p in enumerate(levels):
+            place = (F.col("_n") - 1) * F.lit(p)
+            picks += [at(F.floor(place)).alias(f"_lo{i}"), at(F.ceil(place)).alias(f"_hi{i}")]
+        g = ranked.groupBy(*RATECARD_KEYS).agg(
+            dsum("usage").alias("instance_hours"), dsum("cost").alias("cost"), dsum("_cpu").alias("cpu_hours"),
+            F.max("_n").alias("_n"), *picks)
+        pct = []
+        for i, p in enumerate(levels):
+            place, lo, hi = (F.col("_n") - 1) * F.lit(p), F.col(f"_lo{i}"), F.col(f"_hi{i}")
+            pct.append(F.when(lo == hi, lo).otherwise((F.ceil(place) - place) * lo + (place - F.floor(place)) * hi))
     rate = F.try_divide(F.col("cost"), F.col("cpu_hours"))
     out = g.select(
         *RATECARD_KEYS, "instance_hours", "cost", "cpu_hours",
         rate.alias("rate"), (rate * 100).alias("rate_cents"),
-        *[(F.col("_pct")[i].cast("double") * 100).alias(f"rate_cents_p{int(p * 100)}") for i, p in enumerate(PERCENTILES)],
+        *[(x * 100).alias(f"rate_cents_p{int(p * 100)}") for x, p in zip(pct, PERCENTILES)],
     )
     return out.orderBy(F.col("date").desc()) if sort else out
 

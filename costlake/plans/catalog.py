@@ -52,7 +52,7 @@ def q_source_months_back(spark, sf_dir):
 def q_source_date_slice(spark, sf_dir):
     """S3: stage 00 over the debugging slice of one week of raw lines."""
     cur = cur_from_lineitem(spark, sf_dir, AS_OF)
-    return clean(date_slice(cur, "2001-07-01 00:00:00", "2001-07-07 23:59:59"))
+    return clean(date_slice(cur, "2001-10-01 00:00:00", "2001-10-07 23:59:59"))
 
 
 def q_usage_daily(spark, sf_dir):
@@ -171,6 +171,12 @@ def q_reconcile(spark, sf_dir):
     return recipes.reconcile(conform(p.cur), p.bill(), facts.years_back(AS_OF, 2).strftime("%Y-%m"))
 
 
+def q_reconcile_daily(spark, sf_dir):
+    from costlake.sources.contract import conform
+    p = _p(spark, sf_dir)
+    return recipes.reconcile_daily(conform(p.cur), p.usage_daily(), facts.full_load_start(AS_OF))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_lineitems": q_clean_lineitems,
     "enriched_lineitems": q_enriched_lineitems,
@@ -202,4 +208,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "driver_projection": q_driver_projection,
     "growth_projection": q_growth_projection,
     "reconcile": q_reconcile,
+    "reconcile_daily": q_reconcile_daily,
 }

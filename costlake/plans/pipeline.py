@@ -38,7 +38,7 @@ class Pipeline:
 
     def __post_init__(self):
         if self.dims is None:
-            self.dims = load_dims(self.spark)
+            raise ValueError("dims is required: load_dims(spark, path), or load_dims(spark) for the test seeds")
 
     def stage00(self) -> DataFrame:
         units = None
@@ -75,19 +75,29 @@ class Pipeline:
 def fixture_pipeline(spark: SparkSession, sf_dir: str, tags: Mapping[str, str] | None = None,
                      as_of: dt.date = AS_OF, grain: str = "day") -> Pipeline:
     """Pipeline over the lineitem-derived CUR of a test-data folder."""
-    return Pipeline(spark, cur_from_lineitem(spark, sf_dir, as_of), as_of, tags=dict(tags or {}), grain=grain)
+    return Pipeline(spark, cur_from_lineitem(spark, sf_dir, as_of), as_of, load_dims(spark), tags=dict(tags or {}), grain=grain)
+
+
+#: CUR months of a full build before the month of as_of: two years and the month before them.
+FULL_MONTHS = 25
 
 
 # ---------------------------------------------------------------- builds (the published run order)
 
 def build_full(p: Pipeline, usage_path: str, bill_path: str) -> None:
-    """Full build: stage 01 once (materialised), then both facts from it."""
-    from costlake.plans.sinks import drop_materialized, full_load, materialize
+    """Full build: stage 01 once (materialised), then both facts from it.
 
-    s01 = materialize(p.stage01(), "stage01")
-    full_load(facts.usage_daily(s01, p.as_of), usage_path, "date")
-    full_load(facts.bill_full(s01, p.as_of), bill_path, "date_month")
-    drop_materialized(s01)
+    Only the CUR months of the two years are read, and one before them: a line is billed in
+    its usage month or the month after.
+    """
+    from costlake.plans.sinks import full_load, materialized
+    from costlake.sources.contract import months_back
+
+    cur = months_back(p.cur, p.as_of, FULL_MONTHS)
+    window = Pipeline(p.spark, cur, p.as_of, p.dims, p.tags, p.grain, p.buckets, p.resource_tags)
+    with materialized(window.stage01(), "stage01") as s01:
+        full_load(facts.usage_daily(s01, p.as_of), usage_path, "date")
+        full_load(facts.bill_full(s01, p.as_of), bill_path, "date_month")
 
 
 def build_incremental(p: Pipeline, usage_path: str, bill_path: str, days: int = facts.RESTATE_DAYS) -> dict:
@@ -96,15 +106,14 @@ def build_incremental(p: Pipeline, usage_path: str, bill_path: str, days: int =
     Only the CUR months the window touches are read (partition filter on year/month); the
     bill restates whole months from the month of ``as_of - days``.
     """
-    from costlake.plans.sinks import drop_materialized, materialize, restate
+    from costlake.plans.sinks import materialized, restate
     from costlake.sources.contract import months_back, restatement_months
 
     cur = months_back(p.cur, p.as_of, restatement_months(p.as_of, days))
     window = Pipeline(p.spark, cur, p.as_of, p.dims, p.tags, p.grain, p.buckets, p.resource_tags)
-    s01 = materialize(window.stage01(), "stage01-window")
-    dropped_days = restate(facts.usage_incremental(s01, p.as_of, days), usage_path, "date",
-                           facts.restate_start(p.as_of, days))
-    dropped_months = restate(facts.bill(s01, facts.bill_restate_month(p.as_of, days)), bill_path, "date_month",
-                             facts.bill_restate_month(p.as_of, days))
-    drop_materialized(s01)
+    with materialized(window.stage01(), "stage01-window") as s01:
+        dropped_days = restate(facts.usage_incremental(s01, p.as_of, days), usage_path, "date",
+                               facts.restate_start(p.as_of, days))
+        dropped_months = restate(facts.bill(s01, facts.bill_restate_month(p.as_of, days)), bill_path, "date_month",
+                                 facts.bill_restate_month(p.as_of, days))
     return {"dropped_days": dropped_days, "dropped_months": dropped_months}

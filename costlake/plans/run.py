@@ -1,6 +1,6 @@
 """Command-line driver: the published run order as one call.
 
-    python -m costlake.plans.run full        --cur PATH --usage PATH --bill PATH [--dims PATH] [--as-of DATE]
+    python -m costlake.plans.run full        --cur PATH --usage PATH --bill PATH --dims PATH [--as-of DATE]
     python -m costlake.plans.run incremental --cur PATH --usage PATH --bill PATH [--days 65] ...
     python -m costlake.plans.run view NAME   --usage PATH --bill PATH --out PATH [--as-of DATE]
 
@@ -20,7 +20,7 @@ from pyspark.sql import SparkSession
 from costlake.operators import recipes, views
 from costlake.plans.pipeline import Pipeline, build_full, build_incremental
 from costlake.plans.sinks import read_table
-from costlake.sources.dims import load_dims
+from costlake.sources.dims import load_dim, load_dims
 
 VIEWS = {
     "discount_iceberg": lambda usage, bill, d: views.discount_iceberg(bill),
@@ -34,6 +34,8 @@ VIEWS = {
     "cost_ma7": lambda usage, bill, d: recipes.cost_ma7(usage),
     "growth_alerts": lambda usage, bill, d: recipes.growth_alerts(usage, d),
     "growth_projection": lambda usage, bill, d: recipes.growth_projection(usage, d),
+    "cpu_ratecard_approx": lambda usage, bill, d: views.cpu_ratecard(usage, d, approx_accuracy=10_000),
+    "tag_coverage": lambda usage, bill, d: recipes.tag_coverage(usage),
 }
 
 
@@ -44,7 +46,7 @@ def parse(argv=None) -> argparse.Namespace:
     ap.add_argument("--cur", help="raw CUR folder (Parquet, partitioned by year/month)")
     ap.add_argument("--usage", required=True, help="daily fact folder")
     ap.add_argument("--bill", required=True, help="monthly bill folder")
-    ap.add_argument("--dims", help="folder with dimension CSV/Parquet files (default: seeds)")
+    ap.add_argument("--dims", help="folder with dimension CSV/Parquet files (loads and buying_efficiency)")
     ap.add_argument("--as-of", type=dt.date.fromisoformat, default=dt.datetime.now(dt.timezone.utc).date())
     ap.add_argument("--days", type=int, default=65, help="restated window (mode incremental)")
     ap.add_argument("--tag", action="append", default=[], metavar="OUT=COLUMN", help="extra tag dimension")
@@ -56,13 +58,22 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
     args = parse(argv)
     spark = spark or SparkSession.builder.getOrCreate()
     if args.mode == "view":
-        if args.name not in VIEWS or not args.out:
-            raise SystemExit(f"view needs one of {sorted(VIEWS)} and --out")
-        df = VIEWS[args.name](read_table(spark, args.usage), read_table(spark, args.bill), args.as_of)
+        names = sorted([*VIEWS, "buying_efficiency"])
+        if args.name not in names or not args.out:
+            raise SystemExit(f"view needs one of {names} and --out")
+        usage = read_table(spark, args.usage)
+        if args.name == "buying_efficiency":
+            if not args.dims:
+                raise SystemExit("--dims is required for buying_efficiency")
+            df = views.buying_efficiency(usage, load_dim(spark, "buying_options", args.dims), args.as_of)
+        else:
+            df = VIEWS[args.name](usage, read_table(spark, args.bill), args.as_of)
         df.write.mode("overwrite").parquet(args.out)
         return {"mode": "view", "name": args.name, "out": args.out}
     if not args.cur:
         raise SystemExit("--cur is required for full and incremental loads")
+    if not args.dims:
+        raise SystemExit("--dims is required for full and incremental loads")
     tags = dict(t.split("=", 1) for t in args.tag)
     p = Pipeline(spark, spark.read.parquet(args.cur), args.as_of, load_dims(spark, args.dims), tags)
     if args.mode == "full":

@@ -6,14 +6,15 @@ day) over several tasks and merges small ones, so files stay sized whatever the
 
 A restatement must also remove partitions that vanished from the source (dynamic
 partition overwrite alone would leave them). So the window is computed once into a
-staging folder beside the table, then every existing partition of the window is dropped
-and the staged partitions are moved in. A failure before the swap leaves the table as it
-was; a failure during it is repaired by rerunning (the job is idempotent).
+staging folder beside the table, its partitions are overwritten in one commit, and only
+those that vanished are deleted after it (the job is idempotent).
 """
 
 from __future__ import annotations
 
+import contextlib
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,9 +26,10 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
 
 
-def _write(df: DataFrame, path: str, partition_col: str) -> None:
+def _write(df: DataFrame, path: str, partition_col: str, mode: str = "static") -> None:
+    """Overwrite all partitions (static) or those that ``df`` has (dynamic), whatever the session's own mode is."""
     (df.hint("rebalance", partition_col)
-       .write.mode("overwrite").partitionBy(partition_col).parquet(path))
+       .write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(partition_col).parquet(path))
 
 
 def full_load(df: DataFrame, path: str, partition_col: str, since: str | None = None) -> None:
@@ -50,29 +52,32 @@ def partitions(spark: SparkSession, path: str, partition_col: str) -> list[str]:
 def restate(df: DataFrame, path: str, partition_col: str, since: str) -> list[str]:
     """Replace every partition ``>= since`` with the window of ``df``.
 
+    The window is written to a staging folder first. Its partitions are then overwritten in
+    one dynamic-overwrite write, which commits when all tasks are done; partitions that the
+    new data no longer has are deleted after it. A failure before the commit leaves the table
+    as it was, one after it leaves at most stale partitions, and a rerun mends both.
     Returns the partition values dropped because the new data no longer has them.
     """
     spark = df.sparkSession
-    window = df.where(F.col(partition_col) >= since)
     staging = f"{path.rstrip('/')}/_staging_{uuid.uuid4().hex}"
-    _write(window, staging, partition_col)
     fs, table, jvm = _fs(spark, path)
-    fresh = set(partitions(spark, staging, partition_col))
-    if not fs.exists(table):
-        fs.mkdirs(table)
-    old = [v for v in partitions(spark, path, partition_col) if v >= since]
-    for v in old:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(table, f"{partition_col}={v}"), True)
-    for v in sorted(fresh):
-        src = jvm.org.apache.hadoop.fs.Path(staging, f"{partition_col}={v}")
-        if not fs.rename(src, jvm.org.apache.hadoop.fs.Path(table, f"{partition_col}={v}")):
-            raise OSError(f"could not move staged partition {partition_col}={v} into {path}")
-    fs.delete(jvm.org.apache.hadoop.fs.Path(staging), True)
-    return sorted(set(old) - fresh)
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` under the shared ``spark.checkpoint.dir`` and read it back.
+    try:
+        _write(df.where(F.col(partition_col) >= since), staging, partition_col)
+        fresh = set(partitions(spark, staging, partition_col))
+        old = [v for v in partitions(spark, path, partition_col) if v >= since]
+        if fresh:
+            _write(read_table(spark, staging), path, partition_col, mode="dynamic")
+        gone = sorted(set(old) - fresh)
+        for v in gone:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(table, f"{partition_col}={v}"), True)
+    finally:
+        fs.delete(jvm.org.apache.hadoop.fs.Path(staging), True)
+    return gone
+
+
+@contextlib.contextmanager
+def materialized(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``df`` written under the shared ``spark.checkpoint.dir`` and read back; deleted at the end, also after a failure.
 
     Cuts the lineage (an executor lost later does not recompute the cleaning) and lets
     both facts be loaded from one computation of stage 01.
@@ -82,16 +87,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     if not base:
         raise RuntimeError("spark.checkpoint.dir is not set; name a shared folder for intermediate tables")
     out = f"{base.rstrip('/')}/costlake/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(out)
-    return spark.read.parquet(out)
-
-
-def drop_materialized(df: DataFrame) -> None:
-    """Delete the folder behind a frame returned by ``materialize`` (after its last use)."""
-    spark = df.sparkSession
-    for f in df.inputFiles()[:1]:
-        fs, p, _ = _fs(spark, f)
-        fs.delete(p.getParent(), True)
+    try:
+        df.write.mode("overwrite").parquet(out)
+        yield spark.read.parquet(out)
+    finally:
+        fs, p, _ = _fs(spark, out)
+        fs.delete(p, True)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

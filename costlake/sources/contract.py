@@ -8,10 +8,10 @@ downstream step the same types whatever the writer used.
 from __future__ import annotations
 
 import datetime as dt
-import functools
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 MONEY = "decimal(24,10)"
 
@@ -45,8 +45,9 @@ REQUIRED = ["year", "month", "line_item_usage_start_date"] + TEXT_COLUMNS + MONE
 def conform(cur: DataFrame, tag_columns: list[str] | tuple[str, ...] = ()) -> DataFrame:
     """Project raw CUR onto the 55 columns we read (+ caller's tag columns), typed.
 
-    Partition columns ``year``/``month`` become text (Spark infers them as int; the CUR
-    writes month unpadded). Absent optional discount columns are added as zero.
+    Partition columns ``year``/``month`` become text, the month unpadded whatever the folder
+    says (Spark infers them as int). A zoned usage start becomes its UTC wall clock. Absent
+    optional discount columns are added as zero.
     """
     present = set(cur.columns)
     missing = [c for c in REQUIRED if c not in present]
@@ -56,15 +57,23 @@ def conform(cur: DataFrame, tag_columns: list[str] | tuple[str, ...] = ()) -> Da
     if absent_tags:
         raise ValueError(f"CUR input lacks tag columns: {absent_tags}")
     optional = tuple(c for c in OPTIONAL_MONEY_COLUMNS if c in present)
-    return cur.select(*_conform_columns(optional, tuple(tag_columns)))
+    zoned = isinstance(cur.schema["line_item_usage_start_date"].dataType, T.TimestampType)
+    return cur.select(*_conform_columns(optional, tuple(tag_columns), zoned))
 
 
-@functools.lru_cache(maxsize=64)
-def _conform_columns(optional_present: tuple[str, ...], tag_columns: tuple[str, ...]) -> tuple[Column, ...]:
+def utc_wall_clock(ts: Column) -> Column:
+    """A zoned timestamp as its UTC wall clock without a zone: the same in any session time zone."""
+    seconds = (F.unix_micros(ts).cast("decimal(20,0)") / F.lit(1_000_000).cast("decimal(10,0)")).cast("decimal(18,6)")
+    zero = F.lit(0)
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(zero, zero, zero, seconds)
+
+
+def _conform_columns(optional_present: tuple[str, ...], tag_columns: tuple[str, ...], zoned: bool) -> tuple[Column, ...]:
+    start = F.col("line_item_usage_start_date")
     cols: list[Column] = [
         F.col("year").cast("string").alias("year"),
-        F.col("month").cast("string").alias("month"),
-        F.col("line_item_usage_start_date"),
+        F.col("month").cast("int").cast("string").alias("month"),
+        (utc_wall_clock(start) if zoned else start).alias("line_item_usage_start_date"),
     ]
     cols += [F.col(c).cast("string").alias(c) for c in TEXT_COLUMNS]
     cols += [F.col(c).cast(MONEY).alias(c) for c in MONEY_COLUMNS]
@@ -74,22 +83,6 @@ def _conform_columns(optional_present: tuple[str, ...], tag_columns: tuple[str,
     return tuple(cols)
 
 
-def spread_small_input(df: DataFrame) -> DataFrame:
-    """Spread a source that scans into fewer partitions than the session has cores.
-
-    A CUR drop on a cluster is many files and row groups, so its scan is already wide and
-    this is a no-op. A single-row-group file (tests, small accounts) would otherwise run all
-    of the per-line cleaning in one task; a hash repartition of the pruned scan spreads it.
-    Only planning is needed to decide (no job runs).
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        # hash of the whole row: even, and deterministic on a retry without the local sort a
-        # round-robin repartition needs
-        return df.repartition(cores, *df.columns)
-    return df
-
-
 def _month_start(d: dt.date, back: int) -> dt.date:
     y, m = d.year, d.month - back
     while m <= 0:
@@ -107,7 +100,7 @@ def months_back(cur: DataFrame, as_of: dt.date, n_prior: int) -> DataFrame:
     pairs = {(_month_start(as_of, k).year, _month_start(as_of, k).month) for k in range(n_prior + 1)}
     cond = None
     for y, m in sorted(pairs):
-        term = (F.col("year").cast("string") == str(y)) & (F.col("month").cast("string") == str(m))
+        term = (F.col("year").cast("int") == y) & (F.col("month").cast("int") == m)
         cond = term if cond is None else (cond | term)
     return cur.where(cond)
 

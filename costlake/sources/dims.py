@@ -1,16 +1,17 @@
 """Dimension inputs (S4): accounts, pricing buckets, products, instance specs, buying options.
 
 Dimensions are inputs. ``load_dims(spark, path)`` reads ``<name>.csv`` or ``<name>.parquet``
-files under ``path`` with declared schemas; without a path it builds the seeds below. Every
+files under ``path`` by column name; without a path it builds the seeds below, which are for
+tests (the pipeline, the command line and the stream ask for their dimensions). Every
 dimension is checked for a unique key before use (a repeated key would multiply cost in a
 left join), and its row count is kept so joins broadcast only a side of known size.
 """
 
 from __future__ import annotations
 
-import os
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -203,11 +204,17 @@ def _seed(spark: SparkSession, name: str) -> Dim:
 def load_dim(spark: SparkSession, name: str, path: str | None = None) -> Dim:
     if path is None:
         return _seed(spark, name)
-    base = os.path.join(path, name)
-    if os.path.exists(base + ".parquet"):
-        df = spark.read.schema(SCHEMAS[name]).parquet(base + ".parquet")
-    else:
-        df = spark.read.schema(SCHEMAS[name]).option("header", "true").csv(base + ".csv")
+    base = f"{path.rstrip('/')}/{name}"       # any file system that Spark reads
+    try:
+        df = spark.read.parquet(base + ".parquet")
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        df = spark.read.option("header", "true").csv(base + ".csv")
+    missing = [f.name for f in SCHEMAS[name] if f.name not in df.columns]
+    if missing:
+        raise ValueError(f"{name}: columns {missing} are missing under {path}")
+    df = df.select(*[F.col(f.name).cast(f.dataType) for f in SCHEMAS[name]])      # by name, not by place
     assert_unique(df, KEYS[name], name)
     return Dim(df, df.count())
 

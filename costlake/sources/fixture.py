@@ -20,11 +20,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from costlake.sources.contract import spread_small_input
 from costlake.sources.local import local_table
 
 MONEY = "decimal(24,10)"
-AS_OF = dt.date(2001, 7, 31)   # last day with dense lineitem data
+AS_OF = dt.date(2001, 11, 4)   # last day with lineitem data
 N_TEMPLATES = 32
 
 TEMPLATE_COLUMNS = [
@@ -174,16 +173,15 @@ def _dec(value: str, ty: str) -> Column:
 
 
 def cur_from_lineitem(spark: SparkSession, sf_dir: str, as_of: dt.date = AS_OF) -> DataFrame:
-    """Raw CUR lines, one per lineitem shipped on or before ``as_of``."""
+    """Raw CUR lines, one per lineitem row."""
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
     return cur_from_lineitem_df(spark, li, as_of)
 
 
 def cur_from_lineitem_df(spark: SparkSession, li: DataFrame, as_of: dt.date = AS_OF) -> DataFrame:
-    end = as_of + dt.timedelta(days=1)
-    li = spread_small_input(li.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
-                                      "l_extendedprice", "l_discount", "l_shipdate"))
-    li = li.where(F.col("l_shipdate") < F.lit(end.isoformat()).cast("timestamp_ntz")).withColumn(
+    li = li.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                   "l_discount", "l_shipdate")
+    li = li.withColumn(
         "tid", ((F.col("l_orderkey") * 7 + F.col("l_linenumber") + F.col("l_suppkey")) % N_TEMPLATES).cast("int")
     )
     t = F.broadcast(templates(spark))          # 32 rows, fixed

@@ -26,8 +26,8 @@ def _utc_today() -> dt.date:
 
 
 def start_restatement_stream(spark: SparkSession, cur_path: str, cur_schema: StructType, usage_path: str,
-                             bill_path: str, checkpoint: str, as_of: Callable[[], dt.date] = _utc_today,
-                             dims: Dims | None = None, tags: Mapping[str, str] | None = None,
+                             bill_path: str, checkpoint: str, dims: Dims, as_of: Callable[[], dt.date] = _utc_today,
+                             tags: Mapping[str, str] | None = None,
                              available_now: bool = True, interval: str = "1 hour") -> StreamingQuery:
     """Start the stream. ``available_now`` processes what has landed and stops (a daily job);
     otherwise it polls every ``interval``. ``cur_schema`` includes the ``year``/``month``

@@ -95,8 +95,8 @@ def test_instance_lines_take_their_group_from_a_tag(spark):
     from costlake.sources.fixture import AS_OF, cur_from_lineitem
 
     cur = cur_from_lineitem(spark, SF_SMALL)
-    plain = Pipeline(spark, cur, AS_OF).stage00()
-    tagged = Pipeline(spark, cur, AS_OF, resource_tags=("resource_tags_user_service",)).stage00()
+    plain = Pipeline(spark, cur, AS_OF, load_dims(spark)).stage00()
+    tagged = Pipeline(spark, cur, AS_OF, load_dims(spark), resource_tags=("resource_tags_user_service",)).stage00()
     inst = (F.col("compute_instance_type") == "c5.xlarge") & (F.col("line_item_type") == "Usage")
     assert {r.resource_name for r in plain.where(inst).select("resource_name").distinct().collect()} == {""}
     names = {r.resource_name for r in tagged.where(inst).select("resource_name").distinct().collect()}

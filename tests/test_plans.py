@@ -9,6 +9,7 @@ from costlake.operators.clean import clean
 from costlake.plans.catalog import QUERIES
 from costlake.plans.pipeline import Pipeline, fixture_pipeline
 from costlake.sources.contract import months_back
+from costlake.sources.dims import load_dims
 from costlake.sources.fixture import AS_OF, cur_from_lineitem
 
 
@@ -37,7 +38,7 @@ def test_scan_is_pruned_and_partition_filtered(spark, cur_table):
 def test_months_back_reads_only_those_partitions(spark, cur_table):
     cur = spark.read.parquet(cur_table)
     months = {(r.year, r.month) for r in months_back(cur, AS_OF, 2).select("year", "month").distinct().collect()}
-    assert months == {(2001, 5), (2001, 6), (2001, 7)}
+    assert months == {(2001, 9), (2001, 10), (2001, 11)}
 
 
 def test_stage01_joins_are_broadcast(spark):
@@ -61,8 +62,8 @@ def test_no_python_udf(spark, name):
 def test_incremental_reads_whole_bill_months(spark):
     from costlake.sources.contract import restatement_months
 
-    # 2001-07-31 - 65 days = 2001-05-27: the window touches May, June, July
-    assert restatement_months(AS_OF, 65) == 2
+    # 2001-11-04 - 65 days = 2001-08-31: the window touches August to November
+    assert restatement_months(AS_OF, 65) == 3
     assert restatement_months(dt.date(2023, 3, 5), 65) == 3
 
 
@@ -73,7 +74,7 @@ def test_fact_filters_reach_the_scan(spark, cur_table):
     spark.conf.set("spark.sql.maxMetadataStringLength", "100000")
     try:
         cur = spark.read.parquet(cur_table)
-        p = plan(Pipeline(spark, months_back(cur, AS_OF, 2), AS_OF).usage_incremental())
+        p = plan(Pipeline(spark, months_back(cur, AS_OF, 2), AS_OF, load_dims(spark)).usage_incremental())
     finally:
         spark.conf.unset("spark.sql.maxMetadataStringLength")
     scan = next(line for line in p.split("\n") if "Scan parquet" in line)
@@ -88,3 +89,14 @@ def test_stage00_combines_map_side_before_the_shuffle(spark, cur_table):
     exchange = p.index("Exchange hashpartitioning")
     partial = p.find("partial_sum", exchange)       # plan text lists the consumer first
     assert partial > exchange, "expected a partial (map-side) aggregate below the stage-00 exchange"
+
+
+def test_bill_is_a_plain_hash_aggregate(spark):
+    for name in ("bill_monthly", "invoice_summary"):
+        p = plan(QUERIES[name](spark, SF_SMALL))
+        assert "ObjectHashAggregate" not in p and "SortAggregate" not in p
+
+
+@pytest.mark.parametrize("name", ["discount_iceberg", "cpu_ratecard", "growth_projection"])
+def test_raw_lines_are_read_once(spark, name):
+    assert plan(QUERIES[name](spark, SF_SMALL)).count("Scan parquet") == 1

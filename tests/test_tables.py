@@ -48,23 +48,20 @@ def test_buying_options_as_array(spark):
     assert rows(views.buying_efficiency(fact, arr, AS_OF)) == rows(views.buying_efficiency(fact, text, AS_OF))
 
 
-def test_ratecard_routes_large_groups_to_the_sketch(spark):
-    """Groups over the exact bound get percentile_approx; the others the exact percentile."""
-    fact = fixture_pipeline(spark, SF_SMALL).usage_daily()
-    keys = views.RATECARD_KEYS
-
-    def by_key(df):
-        return {tuple(r[k] for k in keys): r for r in df.collect()}
-
-    exact = by_key(views.cpu_ratecard(fact, AS_OF, exact_max_values=None))
-    approx = by_key(views.cpu_ratecard(fact, AS_OF, approx_accuracy=10_000))
-    hybrid = by_key(views.cpu_ratecard(fact, AS_OF, exact_max_values=1))
-    sizes = by_key(views.ratecard_rows(fact, AS_OF).groupBy(*keys).agg(F.count("_r").alias("n")))
-    assert hybrid.keys() == exact.keys()
-    assert any(r.n > 1 for r in sizes.values()) and any(r.n <= 1 for r in sizes.values())
-    for k, r in hybrid.items():
-        ref = exact[k] if sizes[k].n <= 1 else approx[k]
-        assert [r[f"rate_cents_p{p}"] for p in (25, 50, 75, 95)] == [ref[f"rate_cents_p{p}"] for p in (25, 50, 75, 95)]
-        assert r.cost == exact[k].cost and r.cpu_hours == exact[k].cpu_hours
-    # the two methods really differ on some multi-value group, so the routing is visible
-    assert any(exact[k].rate_cents_p50 != approx[k].rate_cents_p50 for k in hybrid if sizes[k].n > 1)
+def test_ratecard_percentiles_are_exact_at_any_size(spark):
+    """One group of 130,000 values, one of repeated values, one of a single value, one without a rate."""
+    big = spark.range(130_000).select(F.lit("a").alias("os"), (F.pmod(F.xxhash64("id"), F.lit(1_000_003)) + 1).cast("double").alias("cost"))
+    few = spark.createDataFrame([("b", float(x)) for x in (3, 3, 3, 9, 12, 12)] + [("c", 5.0), ("d", None)], "os string, cost double")
+    fact = big.union(few).select(
+        F.lit("Compute").alias("pricing_bucket"), F.lit("AmazonEC2").alias("product_code"), F.lit("2001-10-01").alias("date"),
+        F.lit("Intel Xeon").alias("compute_processor_line"), F.lit("c5").alias("compute_instance_type_family"),
+        F.col("os").alias("compute_os"), F.lit(None).cast("string").alias("compute_software"), F.lit("OnDemand").alias("pricing_regime"),
+        F.lit("Intel").alias("compute_processor_vendor"), F.lit(1.0).alias("usage"), "cost", F.lit(2).alias("compute_processor_vcpu"))
+    got = {r.compute_os: r for r in views.cpu_ratecard(fact, AS_OF).collect()}
+    want = {r.compute_os: r for r in views.ratecard_rows(fact, AS_OF).groupBy("compute_os").agg(
+        F.percentile("_r", list(views.PERCENTILES)).alias("p"), F.count(F.lit(1)).alias("n"), F.sum("cost").alias("cost")).collect()}
+    assert set(got) == set(want) == {"a", "b", "c", "d"}
+    for k, w in want.items():
+        shown = [got[k][f"rate_cents_p{p}"] for p in (25, 50, 75, 95)]
+        assert shown == [None] * 4 if w.p is None else all(abs(x - 100 * y) < 1e-9 for x, y in zip(shown, w.p))
+        assert got[k].instance_hours == w.n and got[k].cost == w.cost
