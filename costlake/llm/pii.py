@@ -107,14 +107,14 @@ def spans_of(text: Column, kind: str) -> Column:
     return F.when(F.contains(text, F.lit(SIGN[kind])) if kind in SIGN else text.rlike("[0-9]{2}|[0-9][.]"), spans).otherwise(empty)
 
 
-def find(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The input with a column ``pii``: all spans of the whole text by start, then kind.
+def find(docs: DataFrame, text: str = "text", out: str = "pii") -> DataFrame:
+    """The input with a column ``out``: all spans of the whole text by start, then kind.
 
     Null texts count as empty and have none. Repeated rows are searched each for itself.
     Other columns stay; an earlier column of that name is replaced.
     """
     whole = F.coalesce(F.col(text), F.lit(""))
-    return docs.withColumn("pii", F.sort_array(F.concat(*(spans_of(whole, k) for k in KINDS))))
+    return docs.withColumn(out, F.sort_array(F.concat(*(spans_of(whole, k) for k in KINDS))))
 
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
@@ -125,8 +125,8 @@ def redact(docs: DataFrame, text: str = "text") -> DataFrame:
         return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(fresh, F.concat(acc["out"], piece)).otherwise(acc["out"]).alias("out"))
 
     zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    done = F.aggregate("pii", zero, take, lambda acc: F.concat(acc["out"], F.substring(F.col(text), acc["at"] + 1, F.length(text))))
-    return find(docs, text).withColumn(text, F.when(F.size("pii") > 0, done).otherwise(F.col(text))).drop("pii")
+    done = F.aggregate("__spans", zero, take, lambda acc: F.concat(acc["out"], F.substring(F.col(text), acc["at"] + 1, F.length(text))))
+    return find(docs, text, "__spans").withColumn(text, F.when(F.size("__spans") > 0, done).otherwise(F.col(text))).drop("__spans")
 
 
 def joined(spans: Column) -> Column:

@@ -21,5 +21,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": toxicity.op10,
 }
 SQL: dict[str, str] = {
+    "op1_suffix": suffix.SQL,
     "op8_jaccard": jaccard.SQL,
 }

@@ -301,3 +301,18 @@ def dedup(docs: DataFrame) -> DataFrame:
 
 def op1(spark, sf_dir: str) -> DataFrame:
     return dedup(table(spark, sf_dir, "documents")).drop("kept")
+
+
+SQL = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+windows AS (SELECT doc_id, p, substr(h, 2 * p + 1, 100) AS s FROM (SELECT doc_id, h, unnest(range(length(h) // 2 - 49)) AS p FROM d)),
+shared AS (SELECT s, min(doc_id) AS first FROM windows GROUP BY s HAVING min(doc_id) < max(doc_id)),
+gone AS (SELECT doc_id, p, p - lag(p) OVER (PARTITION BY doc_id ORDER BY p) AS step FROM windows JOIN shared USING (s) WHERE doc_id > first),
+spans AS (SELECT doc_id, min(p) AS a, max(p) + 50 AS b
+  FROM (SELECT *, sum(if(step <= 50, 0, 1)) OVER (PARTITION BY doc_id ORDER BY p) AS run FROM gone) GROUP BY doc_id, run),
+kept AS (SELECT doc_id, substr(h, 2 * coalesce(lag(b) OVER w, 0) + 1, 2 * (a - coalesce(lag(b) OVER w, 0))) AS piece, a, b FROM spans JOIN d USING (doc_id) WINDOW w AS (PARTITION BY doc_id ORDER BY a)),
+joined AS (SELECT doc_id, string_agg(piece, '' ORDER BY a) AS before, max(b) AS last, sum(b - a) AS removed, count(*) AS n FROM kept GROUP BY doc_id)
+SELECT doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(n, 0) AS BIGINT) AS n_spans,
+  sha256(unhex(coalesce(before, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN joined USING (doc_id)
+"""

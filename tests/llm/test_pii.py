@@ -66,7 +66,9 @@ def test_added_kinds(found):
 
 def test_redact_null_empty_repeated(spark):
     rows = [(1, "mail a@b.cc, ip 1.2.3.4!", 0), (1, "mail a@b.cc, ip 1.2.3.4!", 0), (2, None, 0), (None, "", 0)]
-    out = pii.redact(spark.createDataFrame(rows, "doc_id long, text string, pii int")).select("doc_id", "text").collect()
+    done = pii.redact(spark.createDataFrame(rows, "doc_id long, text string, pii int"))
+    assert done.columns == ["doc_id", "text", "pii"]
+    out = done.select("doc_id", "text").collect()
     assert sorted([tuple(r) for r in out], key=str) == sorted([(1, "mail [EMAIL], ip [IP]!")] * 2 + [(2, None), (None, "")], key=str)
 
 
