@@ -18,8 +18,9 @@ from pyspark.sql import types as T
 
 from costlake.sources.local import local_table
 
-# a dimension broadcast must stay below this many rows; larger ones take a shuffled join
-BROADCAST_ROW_LIMIT = 500_000
+# a dimension is broadcast below this size (rows counted at load, CELL_BYTES for each value);
+# a larger one joins as Spark decides
+BROADCAST_BYTES, CELL_BYTES = 64 << 20, 64
 
 _S = T.StringType()
 SCHEMAS = {
@@ -163,8 +164,9 @@ class Dim:
     rows: int
 
     def joinable(self) -> DataFrame:
-        """The frame to join: broadcast when its checked row count allows it."""
-        return F.broadcast(self.df) if self.rows <= BROADCAST_ROW_LIMIT else self.df
+        """The frame to join: broadcast when its size, from the checked row count, allows it."""
+        size = self.rows * len(self.df.columns) * CELL_BYTES
+        return F.broadcast(self.df) if size <= BROADCAST_BYTES else self.df
 
 
 def small_side(table) -> DataFrame:

@@ -6,7 +6,7 @@ from conftest import SF_SMALL
 from costlake.operators import recipes, views
 from costlake.plans.pipeline import build_full, fixture_pipeline
 from costlake.plans.sinks import read_table
-from costlake.sources.dims import BROADCAST_ROW_LIMIT, Dim
+from costlake.sources.dims import BROADCAST_BYTES, CELL_BYTES, Dim
 from costlake.sources.fixture import AS_OF
 
 
@@ -33,7 +33,7 @@ def test_views_from_tables(spark, tmp_path):
 
 def test_large_dimension_is_not_broadcast(spark):
     df = spark.range(3).select(F.col("id").cast("string").alias("k"))
-    small, large = Dim(df, 3), Dim(df, BROADCAST_ROW_LIMIT + 1)
+    small, large = Dim(df, 3), Dim(df, BROADCAST_BYTES // CELL_BYTES + 1)
     assert "ResolvedHint" in small.joinable()._jdf.queryExecution().logical().toString() or \
         "broadcast" in small.joinable()._jdf.queryExecution().logical().toString().lower()
     assert "broadcast" not in large.joinable()._jdf.queryExecution().logical().toString().lower()
