@@ -136,7 +136,7 @@ def nodes(docs: DataFrame) -> DataFrame:
 
 
 def candidates(docs: DataFrame, buckets: int) -> DataFrame:
-    """kind 0: a pair (a < b) that shares a key; kind 1: (a = key, b = node), the members of a large group."""
+    """Pairs (a < b) that share a key: all of a small group (kind 0), each member with the least one of a large group (kind 1)."""
     schema = "bucket int, keys binary, nodes binary"
 
     def fn(ids, sets):
@@ -166,10 +166,9 @@ def candidates(docs: DataFrame, buckets: int) -> DataFrame:
             pairs.append(np.stack([node[inside], node[inside + gap]], axis=1))
         run, head = np.repeat(size, size), np.repeat(node[first], size)
         star = np.flatnonzero((run > SMALL) & (head != node))
-        pairs.append(np.stack([head[star], node[star]], axis=1))
-        edge = np.unique(np.concatenate(pairs), axis=0)
-        large = np.flatnonzero(run > SMALL)
-        return pa.table({"kind": pa.array(np.repeat(np.array([0, 1], np.int32), [len(edge), len(large)])), "a": pa.array(np.concatenate([edge[:, 0], key[large]])), "b": pa.array(np.concatenate([edge[:, 1], node[large]]))})
+        few, many = np.unique(np.concatenate(pairs), axis=0), np.unique(np.stack([head[star], node[star]], axis=1), axis=0)
+        edge = np.concatenate([few, many])
+        return pa.table({"kind": pa.array(np.repeat(np.array([0, 1], np.int32), [len(few), len(many)])), "a": pa.array(edge[:, 0]), "b": pa.array(edge[:, 1])})
 
     return docs.mapInArrow(_each(fn, schema, 1024), schema).groupBy("bucket").applyInArrow(meet, "kind int, a long, b long")
 
@@ -240,12 +239,15 @@ def across(edges: DataFrame, comps: DataFrame) -> DataFrame:
     return edges.join(c("a"), "a", "left").join(c("b"), "b", "left").withColumns({"c_a": F.coalesce("c_a", "a"), "c_b": F.coalesce("c_b", "b")}).filter("c_a <> c_b")
 
 
-def large_groups(members: DataFrame, info: DataFrame, comps: DataFrame) -> DataFrame:
-    """Pairs (a, b, far) of large key groups' members that are in different components and whose sketches allow the likeness.
+def large_groups(stars: DataFrame, info: DataFrame, comps: DataFrame) -> DataFrame:
+    """Pairs (a, b, far) of members of large key groups that are in different components and whose sketches allow the likeness.
 
-    A group's members are dealt into blocks, so any two blocks meet in a task of their own.
+    ``stars`` has the pairs (key, node) of the groups' least members and the others, each
+    once however many keys they share; the groups of one least member are taken together. A
+    group's members are dealt into blocks, so any two blocks meet in a task of their own.
     """
-    rows = members.join(comps.withColumnsRenamed({"comp": "c"}), "node", "left").withColumn("c", F.coalesce("c", "node"))
+    rows = stars.union(stars.select("key", F.col("key").alias("node"))).distinct()
+    rows = rows.join(comps.withColumnsRenamed({"comp": "c"}), "node", "left").withColumn("c", F.coalesce("c", "node"))
     mixed = rows.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count(F.lit(1)).alias("size")).filter("low <> high").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
     rows = rows.join(mixed, "key").withColumn("mine", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -284,7 +286,7 @@ def join(docs: DataFrame) -> DataFrame:
     named = nodes(rows).checkpoint()
     info = named.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     found = candidates(rows, 4 * task_count(spark)).checkpoint()
-    edges = filtered(found.filter("kind = 0").select("a", "b").distinct(), info).checkpoint()
+    edges = filtered(found.select("a", "b").distinct(), info).checkpoint()
     best = edges.groupBy("b").agg(F.min(F.struct("far", "a")).alias("x")).select("x.a", "b")  # one pair a node first: most groups are whole then
     links = linked(best, rows, info).checkpoint()
     comps = components(links)
@@ -292,8 +294,8 @@ def join(docs: DataFrame) -> DataFrame:
     if not rest.isEmpty():
         links = links.union(linked(rest, rows, info)).checkpoint()
         comps = components(links)
-    members = found.filter("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("node"))
-    late = large_groups(members, info, comps).join(edges.select("a", "b"), ["a", "b"], "leftanti").checkpoint()
+    stars = found.filter("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("node")).distinct()
+    late = large_groups(stars, info, comps).join(edges.select("a", "b"), ["a", "b"], "leftanti").checkpoint()
     if not late.isEmpty():
         links = links.union(linked(late.select("a", "b"), rows, info)).checkpoint()
         comps = components(links)
