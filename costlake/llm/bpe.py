@@ -13,6 +13,7 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +28,7 @@ CHUNK, OVERLAP = 65_536, 4_096
 #: Characters before a chunk's cut end in which a boundary may come from the cut (a contraction has three).
 GUARD = 3
 #: Pre-tokens that a worker remembers, at most.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -41,12 +42,17 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
         return [ranks[piece]]
     if len(piece) > 128:
         return _merge_long(piece, ranks)
+    get, none = ranks.get, 1 << 60
     parts = [piece[i : i + 1] for i in range(len(piece))]
-    while len(parts) > 1:
-        low, at = min((ranks.get(a + b, 1 << 60), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
-        if low == 1 << 60:
-            break
-        parts[at : at + 2] = [parts[at] + parts[at + 1]]
+    pairs = [get(a + b, none) for a, b in zip(parts, parts[1:])]  # rank of each part with the next
+    while pairs and (low := min(pairs)) != none:
+        i = pairs.index(low)
+        parts[i] += parts[i + 1]
+        del parts[i + 1], pairs[i]
+        if i:
+            pairs[i - 1] = get(parts[i - 1] + parts[i], none)
+        if i < len(pairs):
+            pairs[i] = get(parts[i] + parts[i + 1], none)
     return [ranks[p] for p in parts]
 
 
@@ -94,7 +100,7 @@ class Encoder:
         for p in pre:
             ids = known.get(p)
             if ids is None:
-                ids = np.array(merge(p.encode(), self.ranks), dtype="<u4").tobytes()
+                ids = array("I", merge(p.encode(), self.ranks)).tobytes()
                 if len(p) < 64:
                     known[p] = ids
             out.append(ids)
