@@ -27,7 +27,7 @@ WIDTH, LEXICON = 16, 300
 TRAIN_TEXTS, TRAIN_WORDS = 4_000, 64
 ROUNDS, STEP, RIDGE = 60, 0.3, 1e-6
 #: Words whose scores a worker remembers, and words of a set of chains, at most.
-REMEMBERED, CHAINS = 500_000, 1_000_000
+REMEMBERED, CHAINS = 500_000, 600_000
 UNKNOWN = "und"
 
 
