@@ -95,7 +95,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     rows = rows.withColumn("h", F.xxhash64("text")).withColumn("edge", F.lit(False))
     n = 2 * task_count(docs.sparkSession)
     cuts = sorted({int(c) for c in rows.approxQuantile("doc_id", [i / n for i in range(1, n)], 0.001)})
-    bucket = sum((F.when(F.col("doc_id") >= c, 1).otherwise(0) for c in cuts), F.lit(0))
+    bucket = F.size(F.filter(_table(cuts), lambda c: c <= F.col("doc_id")))  # one literal, however many ranges; a null id: the first
     rows = rows.withColumn("bucket", bucket)
     firsts = sorted(rows.groupBy("bucket").agg(F.min_by(F.struct("doc_id", "h"), F.struct("doc_id", "h")).alias("k")).collect())  # one row a range
     ends = [(b, *firsts[(i + 1) % len(firsts)]["k"]) for i, (b, _) in enumerate(firsts)]
