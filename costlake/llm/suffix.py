@@ -3,7 +3,7 @@
 A suffix array of a whole corpus does not fit any task, so the suffixes are first cut to those
 that can matter. Each 50-byte window belongs to the class of its smallest 20-byte hash, so
 equal windows are in one class wherever they stand; neighbouring windows of a class form a
-run. Runs that are equal, byte for byte, to a run of an earlier document go as a whole. Runs
+run. Runs whose first and last windows have the 64-bit key of an earlier document's run go as a whole. Runs
 of a class that other texts share only in part get a suffix array of their own, class by
 class: there the intervals decide.
 """
@@ -96,15 +96,15 @@ def _classes(rows: DataFrame, buckets: int) -> DataFrame:
                     c = cls[o]
                     short = np.empty((len(o), 6), np.uint8)  # 48 bits of a class tell it within its bucket
                     short[:] = c.view(np.uint8).reshape(-1, 8)[:, 2:]
-                    out.append((int(bucket[o[0]]), ids[used].tobytes(), again.astype(np.uint8).tobytes(), short.tobytes(), (content[o] >> np.uint64(32)).astype(np.uint32).tobytes()))
+                    out.append((int(bucket[o[0]]), ids[used].tobytes(), again.astype(np.uint8).tobytes(), short.tobytes(), content[o].tobytes()))
                 yield pa.RecordBatch.from_arrays([pa.array(col, pa.int32() if i == 0 else pa.binary()) for i, col in enumerate(zip(*out))], names=["bucket", "ids", "place", "cls", "content"])
 
     return rows.mapInArrow(run, schema)
 
 
 def _key(cls: np.ndarray, content: np.ndarray) -> np.ndarray:
-    """What a document finds its run again by: 48 bits of the class, 32 of the content, mixed to 63."""
-    return mix64(mix64(cls >> np.uint64(16)) ^ (content >> np.uint64(32))) >> np.uint64(1)
+    """What a document finds its run again by: 48 bits of the class, all of the content, mixed to 63."""
+    return mix64(mix64(cls >> np.uint64(16)) ^ content) >> np.uint64(1)
 
 
 def _judged(rows: DataFrame, buckets: int, groups: int) -> DataFrame:
@@ -116,7 +116,7 @@ def _judged(rows: DataFrame, buckets: int, groups: int) -> DataFrame:
             six = np.zeros((len(c) // 6, 8), np.uint8)
             six[:, 2:] = np.frombuffer(c, np.uint8).reshape(-1, 6)
             cls.append(six.view(np.uint64).ravel())
-            content.append(np.frombuffer(k, np.uint32).astype(np.uint64) << np.uint64(32))
+            content.append(np.frombuffer(k, np.uint64))
         doc, cls, content = np.concatenate(doc), np.concatenate(cls), np.concatenate(content)
         order = np.lexsort((doc, content, cls))
         doc, cls, content = doc[order], cls[order], content[order]

@@ -77,3 +77,13 @@ def test_maximal_repeats_as_brute_force():
 
 def test_empty_table(spark):
     assert suffix.dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_runs_alike_in_32_bits(spark):
+    """Two runs of one class whose content keys have the same upper half."""
+    a = "bziidcrgeqoymhluzmhnszzesgmfThe quick brown fox jumps over a lazy doynyexqwspwpz"
+    b = "krmntfovsvpnozxxbolljThe quick brown fox jumps over a lazy dockauwkxftomz"
+    (_, _, cls_a, key_a), (_, _, cls_b, key_b) = suffix.runs(a.encode()), suffix.runs(b.encode())
+    assert cls_a == cls_b and key_a != key_b and key_a >> np.uint64(32) == key_b >> np.uint64(32)
+    got = suffix.dedup(spark.createDataFrame([(1, a), (2, b)], "doc_id long, text string")).drop("kept").collect()
+    assert sorted(tuple(r) for r in got) == brute([(1, a), (2, b)])
