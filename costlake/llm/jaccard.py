@@ -115,24 +115,24 @@ def keys_of(s: np.ndarray) -> np.ndarray:
 
 
 def _each(fn, schema: str, step: int = 256):
-    """mapInArrow over (doc_id, text) in slices, with a memory of word hashes."""
+    """mapInArrow over (doc_id, text) in slices, with a memory of word hashes; further columns go to ``fn`` as they are."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[bytes, int] = {}
         for b in batches:
             for s in range(0, b.num_rows, step):
                 part = b.slice(s, step)
-                yield from fn(part.column(0).to_pylist(), [shingles(t, known) for t in part.column(1).to_pylist()])
+                yield from fn(part.column(0).to_pylist(), [shingles(t, known) for t in part.column(1).to_pylist()], *part.columns[2:])
 
     return run
 
 
 def nodes(docs: DataFrame) -> DataFrame:
-    """doc_id, n, node (null without shingles), sketch of every row."""
-    def fn(ids, sets):
-        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()), pa.array([sketch_of(s) if len(s) else None for s in sets], pa.binary())], names=["doc_id", "n", "node", "sketch"])
+    """doc_id, key (hash of the text), n, node (null without shingles), sketch of every row."""
+    def fn(ids, sets, key):
+        yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()), pa.array([node_of(s) if len(s) else None for s in sets], pa.int64()), pa.array([sketch_of(s) if len(s) else None for s in sets], pa.binary()), key], names=["doc_id", "n", "node", "sketch", "key"])
 
-    schema = "doc_id long, n long, node long, sketch binary"
-    return docs.mapInArrow(_each(fn, schema), schema)
+    schema = "doc_id long, n long, node long, sketch binary, key long"
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("key")).mapInArrow(_each(fn, schema), schema)
 
 
 def candidates(docs: DataFrame, buckets: int) -> DataFrame:
@@ -193,9 +193,9 @@ def filtered(edges: DataFrame, info: DataFrame) -> DataFrame:
 
 def linked(edges: DataFrame, docs: DataFrame, info: DataFrame) -> DataFrame:
     """Of the pairs (a, b): those with 100 * intersection >= 75 * union, by their whole sets."""
-    wanted = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(info.select("node", "doc"), "node").checkpoint()
+    wanted = edges.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(info.select("node", "doc", "key"), "node").checkpoint()
     ids = F.broadcast(wanted) if wanted.count() <= BROADCAST_IDS else wanted
-    rows = docs.join(ids, docs["doc_id"] == ids["doc"]).select(F.col("node").alias("doc_id"), "text")  # a repeated id: the set named so decides
+    rows = docs.join(ids, docs["doc_id"].eqNullSafe(ids["doc"]) & (F.xxhash64(docs["text"]) == ids["key"])).select(F.col("node").alias("doc_id"), "text")
 
     def fn(names, sets):
         fit = [(i, s) for i, s in zip(names, sets) if len(s) and node_of(s) == i]
@@ -273,18 +273,13 @@ def large_groups(stars: DataFrame, info: DataFrame, comps: DataFrame) -> DataFra
     return rows.groupBy("key", "i", "j").applyInArrow(meet, "a long, b long, far long").distinct()
 
 
-def join(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id reachable by links) of every row.
-
-    Null and empty texts, and those without words, have no shingles, link with nothing and are
-    components of their own (repeated rows of them too). Repeated rows of a text have equal
-    sets and so one component; a null doc_id stands after all others.
-    """
+def placed(docs: DataFrame) -> DataFrame:
+    """doc_id, key (hash of the text), n_shingles, node and comp (null without shingles) of every row."""
     spark = docs.sparkSession
     ensure_checkpoint_dir(spark)
     rows = texts(docs)
     named = nodes(rows).checkpoint()
-    info = named.filter("node is not null").groupBy("node").agg(F.min("doc_id").alias("doc"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    info = named.filter("node is not null").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("x"), F.first("n").alias("n"), F.first("sketch").alias("sketch")).select("node", F.col("x.doc_id").alias("doc"), F.col("x.key").alias("key"), "n", "sketch")
     found = candidates(rows, 4 * task_count(spark)).checkpoint()
     edges = filtered(found.select("a", "b").distinct(), info).checkpoint()
     best = edges.groupBy("b").agg(F.min(F.struct("far", "a")).alias("x")).select("x.a", "b")  # one pair a node first: most groups are whole then
@@ -299,25 +294,43 @@ def join(docs: DataFrame) -> DataFrame:
     if not late.isEmpty():
         links = links.union(linked(late.select("a", "b"), rows, info)).checkpoint()
         comps = components(links)
-    placed = named.select("doc_id", F.col("n").alias("n_shingles"), "node").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    first = placed.filter("node is not null").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
-    return placed.join(first, "comp", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    return named.select("doc_id", "key", F.col("n").alias("n_shingles"), "node").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+
+
+def join(docs: DataFrame) -> DataFrame:
+    """doc_id, n_shingles, component_id (smallest doc_id reachable by links) of every row.
+
+    Null and empty texts, and those without words, have no shingles, link with nothing and are
+    components of their own (repeated rows of them too). Repeated rows of a text have equal
+    sets and so one component; a null doc_id stands after all others.
+    """
+    rows = placed(docs)
+    first = rows.filter("node is not null").groupBy("comp").agg(F.min("doc_id").alias("component_id"))
+    return rows.join(first, "comp", "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """One document of each component, the one with the smallest doc_id, with all its columns.
+    """One row of each component, the one with the smallest doc_id (none: last) and then the smallest text hash, with all its columns.
 
-    Rows of one id are one document; where there are several, the one with the smallest text
-    hash stays. Rows without an id stay if nothing with an id is like them.
+    Each row is judged by its own text: rows of one id with unlike texts stay, and so do rows
+    without an id that are like nothing else. Rows without words stay; those of one id and text
+    are one.
     """
-    found = join(docs).checkpoint()
-    gone = found.filter("component_id is not null and not (doc_id <=> component_id)").select(F.col("doc_id").alias("__gone")).distinct()
+    found = placed(docs).checkpoint()
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
+    first = found.filter("node is not null").groupBy("comp").agg(F.min(order).alias("first"))
+    gone = found.join(first, "comp").filter(order != F.col("first")).select(F.col("doc_id").alias("__gone"), F.col("key").alias("__key")).distinct().checkpoint()
     side = F.broadcast(gone) if gone.count() <= BROADCAST_IDS else gone
-    kept = docs.join(side, F.col("doc_id").cast("long").eqNullSafe(F.col("__gone")), "leftanti")
-    if found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
+    key = F.xxhash64(F.col("text").cast("string"))
+    kept = docs.join(side, F.col("doc_id").cast("long").eqNullSafe(F.col("__gone")) & (key == F.col("__key")), "leftanti")
+    again = found.filter("node is not null or doc_id is not null").groupBy("doc_id", "key").count().filter("count > 1").select(F.col("doc_id").alias("__again"), F.col("key").alias("__key"))
+    if again.isEmpty():
         return kept
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    return kept.withColumn("__nth", F.row_number().over(order)).filter("__nth = 1 or doc_id is null").drop("__nth")
+    # of rows with one id and text, the first; a row without an id and without words is like nothing
+    alike = Window.partitionBy(F.col("doc_id").cast("long"), key).orderBy(F.lit(1))
+    several = F.col("doc_id").cast("long").eqNullSafe(F.col("__again")) & (key == F.col("__key"))
+    rest = kept.join(again, several, "leftanti")
+    return rest.unionByName(kept.join(again, several, "leftsemi").withColumn("__nth", F.row_number().over(alike)).filter("__nth = 1").drop("__nth"))
 
 
 def op8(spark, sf_dir: str) -> DataFrame:

@@ -71,3 +71,16 @@ def test_large_groups_compared_in_blocks(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert jaccard.join(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_keep_first_by_text(spark):
+    """Rows without an id and rows of one id are judged by their own texts."""
+    rng = random.Random(2)
+    text = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(60))
+    a, b, c, d, e, f = (text() for _ in range(6))
+    rows = [(1, a), (None, a), (None, a + " more"), (None, b), (None, c), (None, c), (None, c + " more"), (5, d), (5, e), (7, e), (8, f), (8, f), (9, None), (None, None), (None, ""), (None, "")]
+    got = [(r["doc_id"], r["text"]) for r in jaccard.keep_first(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    like_c = [x for x in got if (x[1] or "").startswith(c)]
+    assert len(like_c) == 1 and like_c[0][0] is None
+    want = [(1, a), (None, b), (5, d), (5, e), (8, f), (9, None), (None, None), (None, ""), (None, "")]
+    assert sorted((x for x in got if x not in like_c), key=str) == sorted(want, key=str)
