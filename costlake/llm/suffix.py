@@ -24,7 +24,7 @@ LENGTH, SEED = 50, 20
 #: Windows of a run, at most: a run then is at most STRIDE + LENGTH - 1 bytes.
 STRIDE = LENGTH - SEED + 1
 WIDE = STRIDE + LENGTH - 1
-#: Suffixes sorted at a time; whole classes are never split.
+#: Suffixes sorted at a time; a class of more is compared window by window, by the windows' hashes.
 SORT = 250_000
 _C = 0x9E3779B97F4A7C15
 _POW = {n: np.uint64(pow(_C, n, 1 << 64)) for n in (1, 2, 4, 8, 16, 32)}
@@ -227,6 +227,39 @@ def enhanced_array(body: np.ndarray, size: np.ndarray, least: int):
     return text, place, lcp, before
 
 
+def _by_window(part: np.ndarray, body: np.ndarray, length: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Spans of a large class that an earlier document has: windows of ``length`` in passes over shares of their hashes, some 16 * SORT in each, so memory grows with the runs only."""
+    per = part["n"].astype(np.int64) - length + 1
+    passes, out = max(1, -(-int(per.sum()) // (16 * SORT))), []
+    power = np.array([pow(_C, j + 1, 1 << 64) for j in range(length)], dtype=np.uint64)
+    for k in range(passes):
+        held = []
+        for s in range(0, len(part), 4096):
+            b = body[s : s + 4096].astype(np.uint64) + np.uint64(1)
+            h = np.zeros((len(b), b.shape[1] - length + 1), np.uint64)
+            for j in range(length):
+                h += b[:, j : j + h.shape[1]] * power[j]
+            h = mix64(h)
+            i, at = np.nonzero((np.arange(h.shape[1])[None, :] < per[s : s + 4096, None]) & (h % np.uint64(passes) == k))
+            held.append((h[i, at], (i + s).astype(np.int32), at.astype(np.int8)))
+        h, i, at = (np.concatenate(x) for x in zip(*held))
+        order = np.lexsort((part["doc"][i], h))
+        h, i, at = h[order], i[order], at[order]
+        new = np.concatenate([[True], h[1:] != h[:-1]]) if len(h) else np.zeros(0, bool)
+        first = np.flatnonzero(new)[np.cumsum(new) - 1]
+        hit = np.flatnonzero(part["doc"][i] != part["doc"][i[first]])
+        for s in range(0, len(hit), 65_536):  # byte for byte
+            x = hit[s : s + 65_536]
+            y = first[x]
+            cols = np.arange(length)
+            same = (body[i[x, None], at[x, None] + cols] == body[i[y, None], at[y, None] + cols]).all(axis=1)
+            x = x[same]
+            start = part["start"][i[x]] + at[x]
+            if len(x):
+                out.append(X.merged(part["doc"][i[x]], start, start + length))
+    return out
+
+
 def _compared(group: pa.Table, groups: int, length: int = LENGTH) -> pa.Table:
     """Spans (kind 2) to the documents' groups: those that came pass on; runs of classes are compared."""
     g = group.column("g")[0].as_py()
@@ -243,8 +276,11 @@ def _compared(group: pa.Table, groups: int, length: int = LENGTH) -> pa.Table:
     while x < len(edge) - 1:
         y = max(x + 1, int(np.searchsorted(upto, upto[x] + SORT, "right")) - 1)
         a, b = edge[x], edge[y]
-        x = y
+        large, x = upto[y] - upto[x] > SORT, y
         part = e[a:b]
+        if large:  # one class
+            out += _by_window(part, body[a:b], length)
+            continue
         text, place, lcp, before = enhanced_array(body[a:b], part["n"].astype(np.int64), length)
         doc, best = part["doc"][text], np.zeros(len(text), np.int64)
         lcp = np.where(lcp >= length, lcp, 0)

@@ -87,3 +87,24 @@ def test_runs_alike_in_32_bits(spark):
     assert cls_a == cls_b and key_a != key_b and key_a >> np.uint64(32) == key_b >> np.uint64(32)
     got = suffix.dedup(spark.createDataFrame([(1, a), (2, b)], "doc_id long, text string")).drop("kept").collect()
     assert sorted(tuple(r) for r in got) == brute([(1, a), (2, b)])
+
+
+def test_large_class_by_windows(monkeypatch):
+    """A class of more than SORT suffixes gives the same spans without a suffix array of all of it."""
+    rng = np.random.default_rng(6)
+    line = rng.integers(97, 123, 64)
+    n, size = 400, suffix.WIDE
+    body = rng.integers(97, 99, (n, size)).astype(np.uint8)
+    for i in range(n):
+        body[i, 8 : 8 + 40 + i % 25] = line[: 40 + i % 25]
+    e = np.zeros(n, suffix.ENTRY)
+    e["doc"], e["n"], e["start"] = np.arange(n) % 300, size, 1000 * np.arange(n)
+    group = suffix.X.to_arrow([(0, 3, e.tobytes(), body.tobytes(), b"")])
+
+    def spans():
+        return [x.tolist() for x in suffix.X.merged(*suffix.X.entries(suffix._compared(group, 1), 2, (np.int64, np.int64, np.int64)))]
+
+    want, seen, whole = spans(), [], suffix.enhanced_array
+    monkeypatch.setattr(suffix, "SORT", 200)
+    monkeypatch.setattr(suffix, "enhanced_array", lambda b, s, least: seen.append(int((s - least + 1).sum())) or whole(b, s, least))
+    assert want[0] and spans() == want and max(seen, default=0) <= 200
