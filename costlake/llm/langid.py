@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from costlake.llm.common import table, texts
 from costlake.llm.toxicity import remainder
 
-WORD = re.compile(r"[^\W\d_]+")
+#: A run of letters; a longer one is cut into pieces, each a word.
+WORD = re.compile(r"[^\W\d_]{1,40}")
 #: Hashed features, as a power of two; words of a language's lexicon.
 WIDTH, LEXICON = 16, 300
 #: Texts that training takes at most (lowest hash of the id first), and the words of each: one window at a hashed place.
@@ -34,10 +35,9 @@ UNKNOWN = "und"
 def features(word: str, lexicon: frozenset[str]) -> list[int]:
     """Hashed features of a lower-case word: prefixes and suffixes to 3 letters, 2- and 3-grams with edges, lexicon entry."""
     mask, crc = (1 << WIDTH) - 1, zlib.crc32
-    w = word if len(word) <= 40 else word[:20] + word[-20:]
-    edged = f"^{w}$".encode()
+    edged = f"^{word}$".encode()
     out = [crc(edged[i : i + n]) & mask for n in (2, 3) for i in range(len(edged) - n + 1)]
-    b = w.encode()
+    b = word.encode()
     out += [crc(b[:n], 1) & mask for n in (1, 2, 3)] + [crc(b[-n:], 2) & mask for n in (1, 2, 3)]
     if word in lexicon:
         out.append(crc(b, 3) & mask)

@@ -38,3 +38,12 @@ def test_held_out_accuracy_and_odd_texts(spark):
     assert all(0 <= r["score"] <= 1 for r in got)
     assert [r["lang_pred"] for r in langid.predict(spark.createDataFrame([(1, "a")], "doc_id long, text string"), langid.fit([])).collect()] == ["und"]
     assert langid.predict(spark.createDataFrame([], "doc_id long, text string"), model).count() == 0
+
+
+def test_long_runs_of_letters(spark):
+    """The middle of a run counts, and by its length."""
+    model = langid.fit([("the and of that", "en"), ("der die und das", "de")] * 20)
+    en, de = "theandofthat" * 2, "derdieunddas" * 100
+    rows = langid.predict(spark.createDataFrame([(1, en + de + en), (2, "the " + de)], "doc_id long, text string"), model).collect()
+    assert {r["lang_pred"] for r in rows} == {"de"}
+    assert [len(w) for w in langid.WORD.findall("x" * 95 + " ab")] == [40, 40, 15, 2]
