@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from costlake.llm import ann, bpe, chaining, imatch, jaccard, langid, packing, pii, quality, suffix, toxicity
+from costlake.llm import ann, bpe, chaining, imatch, jaccard, langid, negatives, packing, periodic, pii, quality, suffix, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix": suffix.op1,
@@ -19,10 +19,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_jaccard": jaccard.op8,
     "op9_pii": pii.op9,
     "op10_toxicity": toxicity.op10,
+    "op11_periodic": periodic.op11,
+    "op12_negatives": negatives.op12,
     "op13_quality": quality.op13,
 }
 SQL: dict[str, str] = {
     "op1_suffix": suffix.SQL,
     "op8_jaccard": jaccard.SQL,
+    "op12_negatives": negatives.SQL,
     "op13_quality": quality.SQL,
 }
