@@ -31,7 +31,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from costlake.llm.common import ensure_checkpoint_dir, mix64, table, texts
+from costlake.llm.common import ensure_checkpoint_dir, mix64, table, task_count, texts
 
 LEAST = 12
 #: A run agrees with itself one period on over LEAST / 2 places or more, so one stretch of so many words recurs.
@@ -39,7 +39,7 @@ GRAM = LEAST // 2
 #: First octave: periods below FIRST, boundaries at half of it; from then on octaves [q, 2 q) with boundaries at every q.
 FIRST = 8
 #: Words that the boundaries of a tile span, unless one octave is more; words looked at together in a task.
-CORE, TOGETHER = 16_384, 2_000_000
+CORE, TOGETHER = 16_384, 500_000
 RUNS = "array<struct<start: bigint, period: bigint, length: bigint>>"
 
 
@@ -258,7 +258,7 @@ def collapse(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     rows = texts(docs, id_col, text_col).withColumn("slot", F.monotonically_increasing_id()).select("slot", "doc_id", "text")
     clean = rows.mapInArrow(_sift(True), SIFTED).select("doc_id", F.array().cast(RUNS).alias("runs"), F.col("body").cast("string").alias("collapsed"))
     found = rows.mapInArrow(_sift(False), SIFTED).checkpoint()  # tiles and texts of one pass: their numbers agree
-    dealt = found.filter("kind = 1").select("slot", "q0", "lo", "number", "body").repartition("slot", "q0", "lo")
+    dealt = found.filter("kind = 1").select("slot", "q0", "lo", "number", "body").repartition(4 * task_count(docs.sparkSession), "slot", "q0", "lo")  # compressed: their size says little of the work
     runs = _stitched(dealt.mapInArrow(_solved, "slot long, period long, x long, y long"))
     marked = found.filter("kind = 0").select("slot", "doc_id", "body").join(runs, "slot", "left").select("doc_id", "body", F.coalesce("runs", F.array().cast(RUNS)).alias("runs"))
     return clean.unionByName(marked.mapInArrow(_collapsed, f"doc_id long, runs {RUNS}, collapsed string"))
