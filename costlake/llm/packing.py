@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import functools
 import json
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -62,31 +63,43 @@ class Bins:
 
 @functools.lru_cache(maxsize=2)
 def _tokenizer(path: str):
-    """(encode a piece, memory of pieces) of a byte-level tokenizer file, read once for a worker.
+    """(encode a piece, memory of pieces, added tokens, where they stand) of a byte-level tokenizer file, read once for a worker.
 
     The file's vocabulary is loaded into the faster of the two BPE libraries at hand; ids are
-    the same (a test compares them), and special tokens' strings are ordinary text.
+    the same (a test compares them).
     """
     import tiktoken
 
     from public_tokenizers import PATTERN
 
     with open(path, encoding="utf-8") as f:
-        vocab = json.load(f)["model"]["vocab"]
+        file = json.load(f)
+    vocab, added = file["model"]["vocab"], {t["content"]: t["id"] for t in file["added_tokens"]}
     shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves in the file
     alphabet = {chr(b): b for b in shown}
     alphabet.update({chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(shown))})
-    ranks = {bytes(alphabet[c] for c in word): i for word, i in vocab.items() if all(c in alphabet for c in word) and not (word.startswith("<|") and word.endswith("|>"))}
-    return tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}), {}
+    ranks = {bytes(alphabet[c] for c in word): i for word, i in vocab.items() if all(c in alphabet for c in word) and word not in added}
+    stands = re.compile("(" + "|".join(re.escape(t) for t in sorted(added, key=len, reverse=True)) + ")") if added else None
+    return tiktoken.Encoding("file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}), {}, added, stands
 
 
 def packed_ids(text: str, path: str) -> bytes:
     """Ids of a text as little-endian unsigned 32-bit integers.
 
+    The file's added tokens are cut out of the text first and get their own id; what is between them is plain text.
+    """
+    enc, known, added, stands = _tokenizer(path)
+    if stands is None:
+        return _plain_ids(text, enc, known)
+    return b"".join(np.array([added[x]], dtype="<u4").tobytes() if i % 2 else _plain_ids(x, enc, known) for i, x in enumerate(stands.split(text)))
+
+
+def _plain_ids(text: str, enc, known: dict) -> bytes:
+    """Ids of a text without added tokens.
+
     Cut before every single blank between two other characters: no pre-token spans that place,
     so the pieces encode on their own and words seen before are looked up.
     """
-    enc, known = _tokenizer(path)
     words = text.split(" ")
     if "" in words[1:] or not words[0] or any(w[0].isspace() or w[-1].isspace() for w in words if w and not (w[0].isalnum() and w[-1].isalnum())):
         return np.array(enc.encode_ordinary(text), dtype="<u4").tobytes()  # runs of white space
@@ -131,8 +144,10 @@ def pieces(docs: DataFrame, path: str, size: int = SIZE) -> DataFrame:
 def pack(docs: DataFrame, path: str, size: int = SIZE, open_bins: int = OPEN_BINS) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset of every piece of every row.
 
-    A null text is an empty one (the end id alone). Repeated rows are packed each for itself.
-    An empty table gives no rows.
+    A null text is an empty one (the end id alone). The tokenizer file's added tokens (such as
+    ``<|endoftext|>``) get their own id wherever a text has them. A very long text is one row's
+    work and gives as many pieces as it needs. Repeated rows are packed each for itself. An
+    empty table gives no rows.
     """
     total = docs.agg(F.count(F.lit(1)).alias("rows"), F.sum(F.octet_length(F.col("text").cast("string"))).alias("bytes")).first()
     shards = max(1, -(-(total["rows"] or 0) // SHARD_ROWS), -(-(total["bytes"] or 0) // SHARD_BYTES))
