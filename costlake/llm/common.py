@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,10 +24,12 @@ def task_count(spark: SparkSession) -> int:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Keep the folder the cluster names; set one of our own only where there is none (tests)."""
+    """Keep the folder the cluster names. Only a session whose driver and tasks are one process (tests) gets one of its own; executors could not see it elsewhere."""
     if spark.sparkContext.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
         if folder is None:
+            if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+                raise RuntimeError("spark.checkpoint.dir is not set; name a folder that the driver and all executors share")
             import tempfile
 
             folder = tempfile.mkdtemp(prefix="costlake-checkpoint-")
