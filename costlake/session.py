@@ -39,7 +39,9 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.executor.extraJavaOptions", JVM_OPTIONS)
     )
     # local runs only: a cluster names its shared folder in spark.checkpoint.dir itself, and a folder named stays
-    builder = builder.config("spark.checkpoint.dir", os.environ.get("COSTLAKE_CHECKPOINT_DIR") or tempfile.mkdtemp(prefix="costlake-ckpt-"))
+    running = SparkSession.getActiveSession()
+    named = running.conf.get("spark.checkpoint.dir", None) if running else os.environ.get("COSTLAKE_CHECKPOINT_DIR")
+    builder = builder.config("spark.checkpoint.dir", named or tempfile.mkdtemp(prefix="costlake-ckpt-"))
     for k, v in JOB_CONF.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
