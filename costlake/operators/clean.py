@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from costlake.functions import cleaning as fx
+from costlake.functions.measures import dsum
 from costlake.sources.contract import conform
 from costlake.sources.dims import small_side
 
@@ -194,3 +195,9 @@ def _agg_and_output(tags: tuple[str, ...], hour_keys: tuple[str, ...]) -> tuple[
     out += [c(t) for t in list(tags) + list(hour_keys)]
     out += [derived[n].alias(n) if n in derived else c(n) for n in STAGE00_MEASURES]
     return aggs, tuple(out)
+
+
+def rollup(hours: DataFrame, tags: Sequence[str] = ()) -> DataFrame:
+    """Stage 00 by day from stage 00 by hour: the hours' exact sums are summed, the raw lines are not read again."""
+    sums = [F.sum("record_cnt").alias("record_cnt")] + [dsum(m).alias(m) for m in STAGE00_MEASURES[1:]]
+    return hours.groupBy(*STAGE00_DIMS, *tags).agg(*sums).select(*STAGE00_DIMS, *tags, *STAGE00_MEASURES)

@@ -15,6 +15,8 @@ from costlake.functions.measures import xsum
 
 USAGE_LINE_TYPES = ("SavingsPlanCoveredUsage", "DiscountedUsage", "Usage")
 RESTATE_DAYS = 65
+#: Days that the hour fact goes back, to the first day of the month it then is in.
+HOUR_DAYS = 400
 
 BILL_DIMS = [
     "date_month", "line_item_type", "bill_line", "account_id", "account_name", "billing_entity", "legal_entity",
@@ -58,6 +60,19 @@ def usage_incremental(stage01: DataFrame, as_of: dt.date, days: int = RESTATE_DA
     return usage_fact(stage01, restate_start(as_of, days))
 
 
+def hour_start(as_of: dt.date, days: int = HOUR_DAYS) -> str:
+    """First day of the hour fact's window: a whole month's first."""
+    return (as_of - dt.timedelta(days=days)).replace(day=1).isoformat()
+
+
+def usage_hourly(stage01_hours: DataFrame, since: str) -> DataFrame:
+    """The hour fact: usage lines by hour, dated ``since`` or later.
+
+    Lines of usage or cost 0 and below stay: the daily fact's rule is on a day's sums.
+    """
+    return stage01_hours.where((F.col("date") >= since) & F.col("line_item_type").isin(*USAGE_LINE_TYPES))
+
+
 def bill(stage01: DataFrame, since_month: str) -> DataFrame:
     """Monthly bill over all line types, months ``since_month`` or later.
 

@@ -9,13 +9,12 @@ one row per day of its key however large the raw data is.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from costlake.functions.cleaning import iso_date, iso_month, nonblank
-from costlake.functions.measures import davg, dsum, exact
+from costlake.functions.measures import davg, dsum, exact, xsum
 from costlake.sources.dims import small_side
 
 
@@ -92,20 +91,55 @@ def system_mapping(fact: DataFrame, system_map) -> DataFrame:
                     F.coalesce(F.col("tag_system"), F.col("tag_service")).alias("system"), "cost"))
 
 
-def patch_service(rules: Sequence[tuple[str, bool, str, str, str]]):
-    """Compile date-bounded tag rules (service, owner_is_null, from, to, new) into one CASE."""
-    expr = None
-    for service, owner_null, d_from, d_to, new in rules:
-        cond = (F.col("tag_service") == service) & F.col("date").between(d_from, d_to)
-        if owner_null:
-            cond = cond & F.col("tag_owner").isNull()
-        expr = F.when(cond, F.lit(new)) if expr is None else expr.when(cond, F.lit(new))
-    return F.col("tag_service") if expr is None else expr.otherwise(F.col("tag_service"))
+#: Rules for service tags: the lowest number that applies wins. ``owner``: 'null', 'set' or 'any'; a null bound is open.
+RULE_SCHEMA = "number long, service string, owner string, from_date string, to_date string, new_service string"
 
 
-def tag_patch(fact: DataFrame, rules: Sequence[tuple[str, bool, str, str, str]]) -> DataFrame:
-    return (fact.groupBy("date", patch_service(rules).alias("tag_service"))
-            .agg(dsum("cost").alias("cost"), F.count(F.lit(1)).alias("row_count")))
+def rule_bins(rules: DataFrame, since: str, until: str) -> DataFrame:
+    """Rules by the months they touch within ``since`` .. ``until``: (bin, service, owner, number, new_service, from_date, to_date).
+
+    Of the rules that cover all of a month for the same service and owner condition only the
+    lowest can win, so the others are dropped there; a bin's size does not grow with them.
+    """
+    lo = F.greatest(F.coalesce("from_date", F.lit(since)), F.lit(since))
+    hi = F.least(F.coalesce("to_date", F.lit(until)), F.lit(until))
+    clipped = rules.select("number", "service", "owner", "new_service", lo.alias("from_date"), hi.alias("to_date")).where("from_date <= to_date")
+    first = F.explode(F.sequence(F.trunc(F.to_date("from_date"), "MM"), F.to_date("to_date"), F.expr("INTERVAL 1 MONTH"))).alias("first")
+    bins = clipped.select("*", first).withColumn("bin", iso_month(F.col("first")))
+    whole = (F.col("from_date") <= F.greatest(F.col("first").cast("string"), F.lit(since))) & (
+        F.col("to_date") >= F.least(F.last_day("first").cast("string"), F.lit(until)))
+    bins = bins.withColumn("part", F.when(~whole, F.struct("number", "new_service", "from_date", "to_date")))
+    kept = F.min_by(F.struct("number", "new_service", "from_date", "to_date"), F.struct("number", "new_service"))
+    return bins.groupBy("bin", "service", "owner", "part").agg(kept.alias("r")).select("bin", "service", "owner", "r.*")
+
+
+def tag_patch(fact: DataFrame, rules: DataFrame, since: str, until: str) -> DataFrame:
+    """Cost by day and service, the service renamed by date-bounded rules (RULE_SCHEMA).
+
+    An interval join: the fact is first summed by day, service and whether it has an owner; rules
+    are expanded to the months they touch and meet it by (service, month), so the join is an
+    equi-join, and the lowest rule number that applies names the service. Days outside
+    ``since`` .. ``until`` keep their service.
+    """
+    keys = fact.groupBy("date", "tag_service", F.col("tag_owner").isNull().alias("no_owner")).agg(
+        xsum("cost").alias("cost"), F.count(F.lit(1)).alias("row_count")).withColumn("month", F.substring("date", 1, 7))
+    bins = rule_bins(rules, since, until)
+    applies = ((F.col("tag_service") == F.col("service")) & (F.col("month") == F.col("bin")) & F.col("date").between(F.col("from_date"), F.col("to_date"))
+               & ((F.col("owner") == "any") | (F.col("owner") == F.when(F.col("no_owner"), "null").otherwise("set"))))
+    named = (keys.join(bins, applies, "left").groupBy("date", "tag_service", "no_owner", "cost", "row_count")
+             .agg(F.min_by("new_service", F.struct("number", "new_service")).alias("new_service")))
+    return (named.groupBy("date", F.coalesce("new_service", "tag_service").alias("tag_service"))
+            .agg(F.sum("cost").cast("double").alias("cost"), F.sum("row_count").alias("row_count")))
+
+
+def rules_from_orders(orders: DataFrame) -> DataFrame:
+    """Test rules, one an order: its customer's service is renamed for some weeks from the order's day on (a few rules never end)."""
+    k, service = F.col("o_orderkey"), F.concat(F.lit("svc"), (F.col("o_custkey") % 10).cast("string"))
+    day = F.to_date("o_orderdate")
+    return orders.select(
+        k.cast("long").alias("number"), service.alias("service"), F.element_at(F.array(F.lit("null"), F.lit("set"), F.lit("any")), (k % 3 + 1).cast("int")).alias("owner"),
+        day.cast("string").alias("from_date"), F.when(k % 9973 != 0, F.date_add(day, (k % 45).cast("int")).cast("string")).alias("to_date"),
+        F.concat(service, F.lit("-v"), (k % 7).cast("string")).alias("new_service"))
 
 
 # ---------------------------------------------------------------- G8-G10
@@ -142,35 +176,41 @@ def unit_cost(fact: DataFrame, work_log: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- G11, G13 (hourly grain)
 
-def hourly_usage(hourly01: DataFrame) -> DataFrame:
-    """Instance-hours and vCPU-hours of compute per hour and product."""
-    return (hourly01.where(F.col("pricing_bucket") == "Compute")
+def _compute_hours(hours: DataFrame, since: str | None) -> DataFrame:
+    rows = hours.where(F.col("pricing_bucket") == "Compute")
+    return rows if since is None else rows.where(F.col("date") >= since)
+
+
+def hourly_usage(hours: DataFrame, since: str | None = None) -> DataFrame:
+    """Instance-hours and vCPU-hours of compute per hour and product, from the hour fact (days ``since`` or later)."""
+    return (_compute_hours(hours, since)
             .groupBy("hour", "product_code")
             .agg(dsum("usage").alias("instance_hours"),
                  dsum(F.col("usage") * F.col("compute_processor_vcpu")).alias("cpu_hours"),
                  dsum("cost").alias("cost")))
 
 
-def base_load(hourly01: DataFrame, as_of: dt.date) -> DataFrame:
-    """Savings-plan base load: per month, the mean over days of the cheapest compute hour.
+def hour_spine(spark: SparkSession, since: str, until: dt.date) -> DataFrame:
+    """(date, hour) of every hour of the days ``since`` .. ``until``: 24 rows a day, made by Spark."""
+    days = F.explode(F.sequence(F.lit(since).cast("date"), F.lit(until))).alias("day")
+    return (spark.range(1).select(days).select(F.col("day").cast("string").alias("date"), F.explode(F.sequence(F.lit(0), F.lit(23))).alias("h"))
+            .select("date", F.concat("date", F.lit(" "), F.lpad(F.col("h").cast("string"), 2, "0")).alias("hour")))
+
 
-    An hour without compute rows costs 0, so a day with fewer than 24 busy hours has a
-    minimum of 0; a calendar day with no rows adds 0 to the sum. The mean divides by the
-    calendar days of the month (up to ``as_of``), so no calendar table is needed and the
-    data is read once.
+def base_load(hours: DataFrame, as_of: dt.date, since: str) -> DataFrame:
+    """Savings-plan base load: per month, the mean over days of the cheapest compute hour, from the hour fact.
+
+    Every hour from ``since`` to ``as_of`` counts, by a calendar spine: an hour without compute
+    rows costs 0. Months without any are left out.
     """
-    hourly = (hourly01.where(F.col("pricing_bucket") == "Compute")
-              .groupBy("date", "hour").agg(dsum("cost").alias("cost")))
-    daily = hourly.groupBy("date").agg(
-        F.when(F.count(F.lit(1)) < 24, F.least(F.min("cost"), F.lit(0.0))).otherwise(F.min("cost")).alias("low_hour"),
-        F.max("cost").alias("peak_hour"))
-    first = F.to_date(F.concat(F.col("date_month"), F.lit("-01")))
-    last = F.least(F.last_day(first), F.lit(as_of.isoformat()).cast("date"))
-    days = (F.datediff(last, first) + 1).cast("double")
+    hourly = _compute_hours(hours, since).groupBy("date", "hour").agg(dsum("cost").alias("cost"))
+    filled = hour_spine(hours.sparkSession, since, as_of).join(hourly, ["date", "hour"], "left")
+    cost = F.coalesce("cost", F.lit(0.0))
+    daily = filled.groupBy("date").agg(F.min(cost).alias("low_hour"), F.max(cost).alias("peak_hour"), F.count("cost").alias("busy"))
     return (daily.groupBy(F.substring("date", 1, 7).alias("date_month"))
-            .agg(dsum("low_hour").alias("_low"), dsum("peak_hour").alias("_peak"))
-            .select("date_month", (F.col("_low") / days).alias("base_load_hourly_cost"),
-                    (F.col("_peak") / days).alias("avg_peak_hourly_cost"), days.cast("long").alias("days")))
+            .agg(davg("low_hour").alias("base_load_hourly_cost"), davg("peak_hour").alias("avg_peak_hourly_cost"),
+                 F.count(F.lit(1)).alias("days"), F.sum("busy").alias("busy"))
+            .where("busy > 0").drop("busy"))
 
 
 # ---------------------------------------------------------------- G12, G14
@@ -336,3 +376,35 @@ def reconcile_daily(cur: DataFrame, fact: DataFrame, since: str, tolerance: floa
     pct = F.try_divide(F.abs(diff), F.abs(F.col("source_usage_cost")))
     return j.select("date", "source_usage_cost", "other_cost", "fact_unblended", diff.alias("diff"),
                     (F.coalesce(pct, F.lit(1.0)) <= tolerance).alias("within_tolerance"), "source_usage_lines", "fact_lines")
+
+
+def reconcile_invoices(bill: DataFrame, invoices: DataFrame, tolerance: float = 0.01) -> DataFrame:
+    """Tie the bill to the invoices by invoice and product, in cash (unblended) dollars.
+
+    A full outer join of the two sums; ``status`` says what a row is: ``ok`` and ``off`` by the
+    tolerance against the invoice, ``missing_invoice`` (billed, no invoice has it),
+    ``missing_bill`` (invoiced, the bill lacks it), ``open`` (billed, not invoiced yet: no
+    invoice number). Several lines of an invoice for one product are summed.
+    """
+    billed = bill.groupBy("invoice_id", "product_code").agg(dsum("unblended_cost").alias("bill_amount"))
+    sent = invoices.groupBy(F.col("invoice_id").alias("_i"), F.col("product_code").alias("_p")).agg(dsum("amount").alias("invoice_amount"))
+    same = F.col("invoice_id").eqNullSafe(F.col("_i")) & F.col("product_code").eqNullSafe(F.col("_p"))
+    j = billed.join(sent, same, "full_outer")
+    b, i = F.col("bill_amount"), F.col("invoice_amount")
+    diff = F.coalesce(b, F.lit(0.0)) - F.coalesce(i, F.lit(0.0))
+    pct = F.try_divide(F.abs(diff), F.abs(i))
+    status = (F.when(i.isNull() & F.col("invoice_id").isNull(), "open").when(i.isNull(), "missing_invoice").when(b.isNull(), "missing_bill")
+              .when((diff == 0) | (F.coalesce(pct, F.lit(1.0)) <= tolerance), "ok").otherwise("off"))
+    return j.select(F.coalesce("invoice_id", "_i").alias("invoice_id"), F.coalesce("product_code", "_p").alias("product_code"),
+                    i, b, diff.alias("diff"), pct.alias("pct_diff"), status.alias("status"))
+
+
+def invoices_from_bill(bill: DataFrame) -> DataFrame:
+    """Test invoices: the bill's sums, of which some are missing, 5 % or half a per cent off, or have a product that was never billed (by the first hex digit of an md5)."""
+    sums = bill.where(F.col("invoice_id").isNotNull()).groupBy("invoice_id", "product_code").agg(dsum("unblended_cost").alias("amount"))
+    mark = F.substring(F.md5(F.concat("invoice_id", F.coalesce("product_code", F.lit("")))), 1, 1)
+    factor = F.when(mark == "1", 1.05).when(mark == "2", 1.005).otherwise(1.0)
+    own = F.struct(F.col("product_code"), (F.col("amount") * factor).alias("amount"))
+    extra = F.struct(F.concat(F.lit("unbilled-"), F.col("product_code")).alias("product_code"), (F.col("amount") / 2).alias("amount"))
+    lines = F.when(mark == "0", F.array()).when(mark == "3", F.array(own, extra)).otherwise(F.array(own))
+    return sums.select("invoice_id", F.explode(lines).alias("x")).select("invoice_id", "x.*")

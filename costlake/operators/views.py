@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from costlake.functions.measures import dsum, exact, xsum
+from costlake.functions.measures import dsum, xsum
 from costlake.operators.enrich import DAYS_PER_MONTH
 from costlake.sources.dims import small_side
 
@@ -69,13 +69,16 @@ def discount_iceberg(bill: DataFrame, sort: bool = False) -> DataFrame:
              .groupBy("date_month", "iceberg_bill_line", "product_code", "product_description", "iceberg_type")
              .agg(dsum("iceberg_cost").alias("iceberg_cost"))
              .where(F.col("iceberg_cost") != 0))
-    by_type = Window.partitionBy("date_month", "iceberg_type")
-    by_month = Window.partitionBy("date_month")
-    out = final.select(
+    # two levels of totals: one row for each calendar month, so the side that is broadcast is bounded by
+    # the months of the bill; both readers of ``final`` share its shuffle, so the bill is still read once
+    cost = F.col("iceberg_cost")
+    of_type = {k: dsum(F.when(F.col("iceberg_type") == k, cost)).alias(k) for k in ("Net Charges", "Discounts")}
+    totals = final.groupBy(F.col("date_month").alias("_month")).agg(*of_type.values(), dsum(F.abs(cost)).alias("_whole"))
+    type_total = F.when(F.col("iceberg_type") == "Discounts", F.col("Discounts")).otherwise(F.col("Net Charges"))
+    out = final.join(F.broadcast(totals), F.col("date_month").eqNullSafe(F.col("_month"))).select(
         "date_month", "iceberg_bill_line", "product_code", "product_description", "iceberg_type", "iceberg_cost",
-        F.try_divide(F.col("iceberg_cost"), F.sum(exact("iceberg_cost")).over(by_type).cast("double")).alias("percent_of_type"),
-        F.try_divide(F.abs(F.col("iceberg_cost")),
-                     F.sum(exact(F.abs(F.col("iceberg_cost")))).over(by_month).cast("double")).alias("percent_of_total"))
+        F.try_divide(cost, type_total).alias("percent_of_type"),
+        F.try_divide(F.abs(cost), F.col("_whole")).alias("percent_of_total"))
     return out.orderBy(F.col("date_month").desc(), F.col("product_code").asc()) if sort else out
 
 
@@ -183,10 +186,26 @@ MOVER_DIMS = ["product_code", "operation", "pricing_bucket"]
 EPSILON = 0.00001
 
 
-def _pivot(fact: DataFrame, as_of: dt.date) -> DataFrame:
-    """One row, one column: latest date with data in the last 10 days, minus 3 days (late data)."""
-    since = (as_of - dt.timedelta(days=10)).isoformat()
-    return fact.where(F.col("date") >= since).agg(F.date_sub(F.to_date(F.max("date")), 3).alias("pivot"))
+#: Days back in which the latest date is looked for, days of late data before the pivot, and days compared.
+PIVOT_DAYS, LATE_DAYS, COMPARED_DAYS = 10, 3, 91
+
+
+def _grid(fact: DataFrame, as_of: dt.date, dims: list[str]) -> DataFrame:
+    """Sums for each date and ``dims``, over all days that any pivot can compare."""
+    since = (as_of - dt.timedelta(days=PIVOT_DAYS + LATE_DAYS + COMPARED_DAYS)).isoformat()
+    return fact.where(F.col("date") >= since).groupBy("date", *dims).agg(
+        dsum("cost").alias("cost"), dsum("usage").alias("usage"))
+
+
+def _pivot(grid: DataFrame, as_of: dt.date) -> DataFrame:
+    """One row, one column: latest date with data in the last 10 days, minus 3 days (late data).
+
+    A maximum over the grid's whole rows, with the ten days inside it: neither a pruned column nor
+    a pushed filter makes this grid unlike the one that is compared, so both share one shuffle.
+    """
+    recent = F.when(F.col("date") >= (as_of - dt.timedelta(days=PIVOT_DAYS)).isoformat(), F.col("date"))
+    latest = F.max(F.struct(recent.alias("day"), *[c for c in grid.columns if c != "date"]))
+    return grid.agg(F.date_sub(F.to_date(latest["day"]), LATE_DAYS).alias("pivot"))
 
 
 def wow_cost_movers(fact: DataFrame, as_of: dt.date, fixed: bool = False, dims: list[str] | None = None,
@@ -199,19 +218,17 @@ def wow_cost_movers(fact: DataFrame, as_of: dt.date, fixed: bool = False, dims:
     range, with the epsilon for empty ranges.
     """
     dims = dims or MOVER_DIMS
+    grid = _grid(fact, as_of, dims)
     # the pivot is a scalar subquery: computed once, inlined as a value (no join at all)
-    x = fact.withColumn("pivot", _pivot(fact, as_of).scalar())
-    x = x.where(F.col("date") >= F.date_sub("pivot", 91).cast("string"))
+    x = grid.withColumn("pivot", _pivot(grid, as_of).scalar())
+    seen = F.col("date") >= F.date_sub("pivot", COMPARED_DAYS).cast("string")
     if fixed:
-        x = x.where(F.col("date") <= F.col("pivot").cast("string"))
+        seen = seen & (F.col("date") <= F.col("pivot").cast("string"))
+    # a sum is never null here; naming it keeps the filter above the grid that both readers share
+    x = x.where(F.when(F.col("cost").isNotNull(), seen).otherwise(False))
     x = x.withColumn("weeks_back", F.expr("datediff(pivot, to_date(date)) div 7"))
-    per_day = x.groupBy("date", "weeks_back", "pivot", *dims).agg(
-        dsum("cost").alias("cost"), dsum("cost_mrr").alias("cost_mrr"), dsum("usage").alias("usage"))
-    per_week = per_day.groupBy(
-        F.date_sub("pivot", F.col("weeks_back").cast("int") * 7).cast("string").alias("week_of"),
-        F.col("pivot").cast("string").alias("current_week"), "weeks_back", *dims,
-    ).agg(F.countDistinct("date").alias("num_days"), (dsum("cost") / 7).alias("avg_cost_daily"),
-          (dsum("usage") / 7).alias("avg_usage_daily"))
+    per_week = x.groupBy(F.col("pivot").cast("string").alias("current_week"), "weeks_back", *dims).agg(
+        (dsum("cost") / 7).alias("avg_cost_daily"))
     wb = F.col("weeks_back")
     other = F.lit(None).cast("double") if fixed else F.lit(0.0)
 

@@ -7,6 +7,7 @@ adapter) -> stage 00 -> stage 01 -> fact -> view. Nothing is sampled or capped;
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,9 +15,11 @@ from pyspark.sql import types as T
 
 from costlake.operators import facts, recipes, views
 from costlake.operators.clean import clean
-from costlake.plans.pipeline import FIXTURE_TAGS, fixture_pipeline
+from costlake.plans.pipeline import FIXTURE_TAGS, build_full, fixture_pipeline
+from costlake.plans.sinks import full_load, read_table, restate
+from costlake.session import ensure_checkpoint_dir
 from costlake.sources.contract import date_slice, months_back
-from costlake.sources.fixture import AS_OF, cur_from_lineitem
+from costlake.sources.fixture import AS_OF, cur_from_lineitem, edited_cur
 from costlake.sources.dims import Dim
 from costlake.sources.local import local_table
 
@@ -24,7 +27,7 @@ from costlake.sources.local import local_table
 ENV_MAP = [("prod", "production"), ("production", "production"), ("prd", "production"),
            ("oldprod", "production"), ("dev", "development"), ("devel", "development")]
 SYSTEM_MAP = [("svc1", "checkout"), ("svc2", "checkout"), ("svc7", "search")]
-TAG_RULES = [("svc3", True, "2001-04-18", "2001-05-07", "svc3-v2")]
+TAG_RULES = [(1, "svc3", "null", "2001-04-18", "2001-05-07", "svc3-v2")]
 DRIVER_MAP = [(f"svc{i}", "customers" if i < 5 else "orders") for i in range(10)]
 
 
@@ -32,8 +35,12 @@ def _schema(*names: str) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
+#: Parts in which the test lines are read: the files a real drop would have.
+CUR_PARTS = 16
+
+
 def _p(spark, sf_dir, **kw):
-    return fixture_pipeline(spark, sf_dir, **kw)
+    return fixture_pipeline(spark, sf_dir, partitions=CUR_PARTS, **kw)
 
 
 def q_clean_lineitems(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +70,45 @@ def q_usage_incremental(spark, sf_dir):
     return _p(spark, sf_dir).usage_incremental()
 
 
+def _folder(spark: SparkSession) -> str:
+    """A new folder for tables in the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/costlake/tables-{uuid.uuid4().hex}"
+
+
+#: Months of stage 01 at a time in the registered full loads.
+LOAD_MONTHS = 13
+
+
+def q_usage_full_load(spark, sf_dir):
+    """The daily fact as the stepwise full build publishes it."""
+    folder = _folder(spark)
+    build_full(_p(spark, sf_dir), f"{folder}/usage", f"{folder}/bill", LOAD_MONTHS)
+    return read_table(spark, f"{folder}/usage")
+
+
+def q_bill_full_load(spark, sf_dir):
+    """The bill as the stepwise full build publishes it."""
+    folder = _folder(spark)
+    build_full(_p(spark, sf_dir), f"{folder}/usage", f"{folder}/bill", LOAD_MONTHS)
+    return read_table(spark, f"{folder}/bill")
+
+
+def q_usage_restated(spark, sf_dir):
+    """The whole daily fact after a restatement from edited raw lines (dearer, late and vanished ones)."""
+    p, path = _p(spark, sf_dir), f"{_folder(spark)}/usage"
+    full_load(p.usage_daily(), path, "date")
+    restate(p.over(edited_cur(p.cur)).usage_incremental(), path, "date", facts.restate_start(AS_OF))
+    return read_table(spark, path)
+
+
+def q_bill_restated(spark, sf_dir):
+    """The whole bill after a restatement that writes only months whose fingerprint changed."""
+    p, path = _p(spark, sf_dir), f"{_folder(spark)}/bill"
+    full_load(p.bill(), path, "date_month")
+    restate(p.over(edited_cur(p.cur)).bill_incremental(), path, "date_month", facts.bill_restate_month(AS_OF), changed_only=True)
+    return read_table(spark, path)
+
+
 def q_bill_monthly(spark, sf_dir):
     return _p(spark, sf_dir).bill()
 
@@ -123,7 +169,14 @@ def q_system_mapping(spark, sf_dir):
 
 
 def q_tag_patch(spark, sf_dir):
-    return recipes.tag_patch(_tagged_fact(spark, sf_dir), TAG_RULES)
+    rules = local_table(spark, TAG_RULES, T.StructType.fromDDL(recipes.RULE_SCHEMA))
+    return recipes.tag_patch(_tagged_fact(spark, sf_dir), rules, facts.full_load_start(AS_OF), AS_OF.isoformat())
+
+
+def q_tag_rules(spark, sf_dir):
+    """G7 with as many rules as there are orders."""
+    rules = recipes.rules_from_orders(spark.read.parquet(f"{sf_dir}/orders.parquet"))
+    return recipes.tag_patch(_tagged_fact(spark, sf_dir), rules, facts.full_load_start(AS_OF), AS_OF.isoformat())
 
 
 def q_invoice_summary(spark, sf_dir):
@@ -139,8 +192,16 @@ def q_unit_cost(spark, sf_dir):
     return recipes.unit_cost(_tagged_fact(spark, sf_dir), recipes.work_log_from_orders(orders))
 
 
+def q_usage_hourly(spark, sf_dir):
+    return _p(spark, sf_dir, grain="hour").usage_hourly()
+
+
+def q_usage_from_hours(spark, sf_dir):
+    return _p(spark, sf_dir, grain="hour").usage_from_hours()
+
+
 def q_hourly_usage(spark, sf_dir):
-    return recipes.hourly_usage(_p(spark, sf_dir, grain="hour").only("Compute").stage01())
+    return recipes.hourly_usage(_p(spark, sf_dir, grain="hour").only("Compute").usage_hourly())
 
 
 def q_cost_ma7(spark, sf_dir):
@@ -148,7 +209,8 @@ def q_cost_ma7(spark, sf_dir):
 
 
 def q_base_load(spark, sf_dir):
-    return recipes.base_load(_p(spark, sf_dir, grain="hour").only("Compute").stage01(), AS_OF)
+    hours = _p(spark, sf_dir, grain="hour").only("Compute").usage_hourly()
+    return recipes.base_load(hours, AS_OF, facts.hour_start(AS_OF))
 
 
 def q_growth_alerts(spark, sf_dir):
@@ -177,6 +239,11 @@ def q_reconcile_daily(spark, sf_dir):
     return recipes.reconcile_daily(conform(p.cur), p.usage_daily(), facts.full_load_start(AS_OF))
 
 
+def q_reconcile_invoices(spark, sf_dir):
+    bill = _p(spark, sf_dir).bill()
+    return recipes.reconcile_invoices(bill, recipes.invoices_from_bill(bill))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_lineitems": q_clean_lineitems,
     "enriched_lineitems": q_enriched_lineitems,
@@ -184,6 +251,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "source_date_slice": q_source_date_slice,
     "usage_daily": q_usage_daily,
     "usage_incremental": q_usage_incremental,
+    "usage_full_load": q_usage_full_load,
+    "bill_full_load": q_bill_full_load,
+    "usage_restated": q_usage_restated,
+    "bill_restated": q_bill_restated,
     "bill_monthly": q_bill_monthly,
     "bill_incremental": q_bill_incremental,
     "discount_iceberg": q_discount_iceberg,
@@ -198,9 +269,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "env_mapping": q_env_mapping,
     "system_mapping": q_system_mapping,
     "tag_patch": q_tag_patch,
+    "tag_rules": q_tag_rules,
     "invoice_summary": q_invoice_summary,
     "tag_coverage": q_tag_coverage,
     "unit_cost": q_unit_cost,
+    "usage_hourly": q_usage_hourly,
+    "usage_from_hours": q_usage_from_hours,
     "hourly_usage": q_hourly_usage,
     "cost_ma7": q_cost_ma7,
     "base_load": q_base_load,
@@ -209,4 +283,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "growth_projection": q_growth_projection,
     "reconcile": q_reconcile,
     "reconcile_daily": q_reconcile_daily,
+    "reconcile_invoices": q_reconcile_invoices,
 }

@@ -1,13 +1,9 @@
-"""Fact sinks (S5-S7): full reload and restatement of a trailing window.
+"""Fact sinks (S5-S7): full reload and restatement of a trailing window, as commits of a versioned table.
 
-Tables are Parquet directories partitioned by ``date`` (daily fact) or ``date_month``
-(bill). Writes use the ``rebalance`` hint: AQE splits a skewed partition value (one huge
-day) over several tasks and merges small ones, so files stay sized whatever the skew.
-
-A restatement must also remove partitions that vanished from the source (dynamic
-partition overwrite alone would leave them). So the window is computed once into a
-staging folder beside the table, its partitions are overwritten in one commit, and only
-those that vanished are deleted after it (the job is idempotent).
+Tables are versioned (``versions.py``): data goes to a new version folder, then one pointer
+names the folder of every partition. A partition that the source no longer has is not named
+any more. Writes use the ``rebalance`` hint: AQE splits a skewed partition value (one huge day)
+over several tasks and merges small ones, so files stay sized whatever the skew.
 """
 
 from __future__ import annotations
@@ -19,60 +15,28 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p, jvm
-
-
-def _write(df: DataFrame, path: str, partition_col: str, mode: str = "static") -> None:
-    """Overwrite all partitions (static) or those that ``df`` has (dynamic), whatever the session's own mode is."""
-    (df.hint("rebalance", partition_col)
-       .write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy(partition_col).parquet(path))
+from costlake.plans.versions import Files, VersionedTable
 
 
 def full_load(df: DataFrame, path: str, partition_col: str, since: str | None = None) -> None:
-    """Truncate and load (optionally only values ``>= since``)."""
+    """Truncate and load (optionally only values ``>= since``), in one commit."""
     if since is not None:
         df = df.where(F.col(partition_col) >= since)
-    _write(df, path, partition_col)
+    VersionedTable(df.sparkSession, path, partition_col).replace(df)
 
 
 def partitions(spark: SparkSession, path: str, partition_col: str) -> list[str]:
-    """Partition values present under ``path`` (directory listing, no job)."""
-    fs, p, _ = _fs(spark, path)
-    if not fs.exists(p):
-        return []
-    prefix = partition_col + "="
-    return sorted(st.getPath().getName()[len(prefix):] for st in fs.listStatus(p)
-                  if st.isDirectory() and st.getPath().getName().startswith(prefix))
-
-
-def restate(df: DataFrame, path: str, partition_col: str, since: str) -> list[str]:
-    """Replace every partition ``>= since`` with the window of ``df``.
-
-    The window is written to a staging folder first. Its partitions are then overwritten in
-    one dynamic-overwrite write, which commits when all tasks are done; partitions that the
-    new data no longer has are deleted after it. A failure before the commit leaves the table
-    as it was, one after it leaves at most stale partitions, and a rerun mends both.
-    Returns the partition values dropped because the new data no longer has them.
+    """Partition values of the table, from its pointer (no job)."""
+    return VersionedTable(spark, path, partition_col).values()
+
+
+def restate(df: DataFrame, path: str, partition_col: str, since: str, changed_only: bool = False) -> dict[str, list[str]]:
+    """Replace every partition ``>= since`` with the window of ``df``, written once and published in one step.
+
+    With ``changed_only`` partitions whose fingerprint is the same keep their files. Returns the
+    values written, kept and dropped.
     """
-    spark = df.sparkSession
-    staging = f"{path.rstrip('/')}/_staging_{uuid.uuid4().hex}"
-    fs, table, jvm = _fs(spark, path)
-    try:
-        _write(df.where(F.col(partition_col) >= since), staging, partition_col)
-        fresh = set(partitions(spark, staging, partition_col))
-        old = [v for v in partitions(spark, path, partition_col) if v >= since]
-        if fresh:
-            _write(read_table(spark, staging), path, partition_col, mode="dynamic")
-        gone = sorted(set(old) - fresh)
-        for v in gone:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(table, f"{partition_col}={v}"), True)
-    finally:
-        fs.delete(jvm.org.apache.hadoop.fs.Path(staging), True)
-    return gone
+    return VersionedTable(df.sparkSession, path, partition_col).replace(df, since, changed_only)
 
 
 @contextlib.contextmanager
@@ -91,16 +55,17 @@ def materialized(df: DataFrame, name: str) -> Iterator[DataFrame]:
         df.write.mode("overwrite").parquet(out)
         yield spark.read.parquet(out)
     finally:
-        fs, p, _ = _fs(spark, out)
-        fs.delete(p, True)
+        Files(spark, out).remove("")
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Read a fact table written here, keeping partition values (``date``, ``date_month``) as ISO text.
+    """Read a table written here: by its pointer, or a plain Parquet folder (a view's output).
 
-    Spark would otherwise infer ``date=2001-05-27`` as a DateType column; the views compare
-    dates as text, as the facts define them.
+    Partition values stay ISO text: Spark would otherwise infer ``date=2001-05-27`` as a
+    DateType column, and the views compare dates as text, as the facts define them.
     """
+    if VersionedTable.exists(spark, path):
+        return VersionedTable(spark, path, "").read()
     key = "spark.sql.sources.partitionColumnTypeInference.enabled"
     before = spark.conf.get(key, None)
     spark.conf.set(key, "false")

@@ -83,12 +83,16 @@ def _conform_columns(optional_present: tuple[str, ...], tag_columns: tuple[str,
     return tuple(cols)
 
 
-def _month_start(d: dt.date, back: int) -> dt.date:
-    y, m = d.year, d.month - back
-    while m <= 0:
-        m += 12
-        y -= 1
-    return dt.date(y, m, 1)
+def month_start(d: dt.date, back: int) -> dt.date:
+    y, m = divmod(d.year * 12 + d.month - 1 - back, 12)
+    return dt.date(y, m + 1, 1)
+
+
+def _in_months(cur: DataFrame, months: set[tuple[int, int]]) -> DataFrame:
+    cond = F.lit(False)
+    for y, m in sorted(months):
+        cond = cond | ((F.col("year").cast("int") == y) & (F.col("month").cast("int") == m))
+    return cur.where(cond)
 
 
 def months_back(cur: DataFrame, as_of: dt.date, n_prior: int) -> DataFrame:
@@ -97,12 +101,23 @@ def months_back(cur: DataFrame, as_of: dt.date, n_prior: int) -> DataFrame:
     The predicate is on the ``year``/``month`` partition columns themselves (not on a date
     derived from a timestamp), so a partitioned scan prunes whole directories.
     """
-    pairs = {(_month_start(as_of, k).year, _month_start(as_of, k).month) for k in range(n_prior + 1)}
-    cond = None
-    for y, m in sorted(pairs):
-        term = (F.col("year").cast("int") == y) & (F.col("month").cast("int") == m)
-        cond = term if cond is None else (cond | term)
-    return cur.where(cond)
+    pairs = {(month_start(as_of, k).year, month_start(as_of, k).month) for k in range(n_prior + 1)}
+    return _in_months(cur, pairs)
+
+
+def usage_months(cur: DataFrame, first: dt.date, last: dt.date, final: bool) -> DataFrame:
+    """Lines used in the months from ``first`` to ``last`` (days of those months).
+
+    A line is billed in its usage month or the one after, so those partitions are read, the
+    usage start decides. The ``final`` step of a load has no month after it and takes what lies
+    beyond its last day too.
+    """
+    end = month_start(last, -1)
+    n = (end.year - first.year) * 12 + end.month - first.month
+    months = {(m.year, m.month) for m in (month_start(first, -k) for k in range(n + (0 if final else 1)))}
+    ts, ty = F.col("line_item_usage_start_date"), cur.schema["line_item_usage_start_date"].dataType
+    rows = _in_months(cur, months).where(ts >= F.lit(f"{first.replace(day=1)} 00:00:00").cast(ty))
+    return rows if final else rows.where(ts < F.lit(f"{end} 00:00:00").cast(ty))
 
 
 def restatement_months(as_of: dt.date, days: int) -> int:

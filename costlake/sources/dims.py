@@ -203,20 +203,24 @@ def _seed(spark: SparkSession, name: str) -> Dim:
     return Dim(local_table(spark, rows, SCHEMAS[name]), len(rows))
 
 
-def load_dim(spark: SparkSession, name: str, path: str | None = None) -> Dim:
-    if path is None:
-        return _seed(spark, name)
-    base = f"{path.rstrip('/')}/{name}"       # any file system that Spark reads
+def load_table(spark: SparkSession, base: str, schema: T.StructType) -> DataFrame:
+    """``base``.parquet or ``base``.csv (with a header), columns by name, on any file system that Spark reads."""
     try:
         df = spark.read.parquet(base + ".parquet")
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         df = spark.read.option("header", "true").csv(base + ".csv")
-    missing = [f.name for f in SCHEMAS[name] if f.name not in df.columns]
+    missing = [f.name for f in schema if f.name not in df.columns]
     if missing:
-        raise ValueError(f"{name}: columns {missing} are missing under {path}")
-    df = df.select(*[F.col(f.name).cast(f.dataType) for f in SCHEMAS[name]])      # by name, not by place
+        raise ValueError(f"columns {missing} are missing in {base}")
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in schema])
+
+
+def load_dim(spark: SparkSession, name: str, path: str | None = None) -> Dim:
+    if path is None:
+        return _seed(spark, name)
+    df = load_table(spark, f"{path.rstrip('/')}/{name}", SCHEMAS[name])
     assert_unique(df, KEYS[name], name)
     return Dim(df, df.count())
 

@@ -172,15 +172,22 @@ def _dec(value: str, ty: str) -> Column:
     return F.lit(value).cast(ty)
 
 
-def cur_from_lineitem(spark: SparkSession, sf_dir: str, as_of: dt.date = AS_OF) -> DataFrame:
-    """Raw CUR lines, one per lineitem row."""
+def cur_from_lineitem(spark: SparkSession, sf_dir: str, as_of: dt.date = AS_OF, partitions: int | None = None) -> DataFrame:
+    """Raw CUR lines, one per lineitem row.
+
+    The test file has one row group, so one task would read all of it. A caller that wants the
+    lines in parts, as a drop of many files has them, gives ``partitions``: the eight narrow
+    columns are then dealt out by the lines' own numbers before they become CUR lines.
+    """
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    return cur_from_lineitem_df(spark, li, as_of)
+    return cur_from_lineitem_df(spark, li, as_of, partitions)
 
 
-def cur_from_lineitem_df(spark: SparkSession, li: DataFrame, as_of: dt.date = AS_OF) -> DataFrame:
+def cur_from_lineitem_df(spark: SparkSession, li: DataFrame, as_of: dt.date = AS_OF, partitions: int | None = None) -> DataFrame:
     li = li.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
                    "l_discount", "l_shipdate")
+    if partitions is not None:
+        li = li.repartition(partitions, "l_orderkey", "l_linenumber")
     li = li.withColumn(
         "tid", ((F.col("l_orderkey") * 7 + F.col("l_linenumber") + F.col("l_suppkey")) % N_TEMPLATES).cast("int")
     )
@@ -288,3 +295,19 @@ def _cur_columns(as_of: dt.date) -> tuple[Column, ...]:
         F.when(F.col("l_suppkey") % 3 == 0, F.lit(None).cast("string"))
          .otherwise(F.concat(F.lit("team-"), (F.col("l_suppkey") % 3).cast("string"))).alias("resource_tags_user_owner"),
         )
+
+
+#: Days before as_of that the restatement fixture edits: dearer lines, a day that vanishes, lines that arrive late.
+DEARER_DAYS, VANISHED_DAY, LATE_DAY, EDITED_SERVICE = (10, 80), 20, 40, "svc3"
+
+
+def edited_cur(cur: DataFrame, as_of: dt.date = AS_OF) -> DataFrame:
+    """The raw lines as a later drop has them: one service dearer on two days, a day gone, that service's lines of another day twice."""
+    day = F.to_date("line_item_usage_start_date")
+    on = lambda n: day == F.lit(as_of - dt.timedelta(days=n))
+    ours = F.col("resource_tags_user_service") == EDITED_SERVICE
+    dearer = ours & (on(DEARER_DAYS[0]) | on(DEARER_DAYS[1]))
+    cost = lambda c: F.when(dearer, F.col(c) * 2).otherwise(F.col(c)).cast(MONEY)
+    costs = ("line_item_unblended_cost", "line_item_net_unblended_cost")
+    late = cur.where(ours & on(LATE_DAY)).withColumn("line_item_resource_id", F.lit("late-line"))
+    return cur.where(~on(VANISHED_DAY)).withColumns({c: cost(c) for c in costs}).unionByName(late)

@@ -8,7 +8,7 @@ import pytest
 from conftest import SF_SMALL
 from __spark_entry__ import oracle_sql, queries
 
-TABLES = ["lineitem", "orders", "documents"]
+TABLES = ["lineitem", "orders", "documents", "embeddings"]
 
 
 @pytest.fixture(scope="module")

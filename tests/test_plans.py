@@ -97,6 +97,23 @@ def test_bill_is_a_plain_hash_aggregate(spark):
         assert "ObjectHashAggregate" not in p and "SortAggregate" not in p
 
 
-@pytest.mark.parametrize("name", ["discount_iceberg", "cpu_ratecard", "growth_projection"])
+def final_plan(df) -> str:
+    """The plan as it ran: shared shuffles show as reused."""
+    df.collect()
+    text = plan(df)
+    return text[text.index("== Final Plan =="):text.index("== Initial Plan ==")]
+
+
+@pytest.mark.parametrize("name", ["discount_iceberg", "cpu_ratecard", "growth_projection", "wow_cost_movers", "wow_cost_movers_fixed"])
 def test_raw_lines_are_read_once(spark, name):
-    assert plan(QUERIES[name](spark, SF_SMALL)).count("Scan parquet") == 1
+    assert final_plan(QUERIES[name](spark, SF_SMALL)).count("Scan parquet") == 1
+
+
+def test_iceberg_shares_without_windows(spark):
+    p = plan(QUERIES["discount_iceberg"](spark, SF_SMALL))
+    assert "Window" not in p and "NestedLoop" not in p
+
+
+def test_tag_rules_are_an_equi_join(spark):
+    p = plan(QUERIES["tag_rules"](spark, SF_SMALL))
+    assert "NestedLoop" not in p and "Cartesian" not in p
