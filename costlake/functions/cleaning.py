@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from costlake.functions import units
+
 
 def c(name: str) -> Column:
     return F.col(name)
@@ -109,6 +111,8 @@ def resource_name(rid: Column, tag_fallbacks: Sequence[Column] = ()) -> Column:
 
 # ---------------------------------------------------------------- usage_type (C5), operation
 
+# What the patterns of usage types, operations and instance types must match.
+
 def usage_type(raw: Column) -> Column:
     return F.coalesce(
         extract(raw, r"^.*(?:SpotUsage:|InstanceUsage:|BoxUsage:|EBSOptimized:)(.+)"),
@@ -131,67 +135,18 @@ def operation(raw: Column) -> Column:
 
 # ---------------------------------------------------------------- pricing unit (C8) and usage scale
 
-# The unit spellings and product lists of the ordered unit rules.
-MONTH_WORDS = ("Month", "Months", "month", "months", "Mo")
-INGEST_PRODUCTS = ("AWSCloudTrail", "AmazonCloudWatch", "AmazonKinesisFirehose", "AmazonSNS", "AmazonGuardDuty",
-                   "AmazonKinesis", "AmazonTimestream", "AWSShield", "AmazonECRPublic", "AmazonDynamoDB", "AWSMarketplace")
-GB_SECOND_UNITS = ("Lambda-GB-Second", "Lambda-GB-Second-ARM", "GB-Seconds")
-GB_HOUR_UNITS = ("Fargate-GB-Hours", "GB-Hours", "ECS-EC2-GB-Hours")
-NETWORK_FAMILIES = ("Data Transfer", "Load Balancer", "VpcEndpoint", "Lightsail Networking", "Sending Attachments", "NAT Gateway")
-DOLLAR_UNITS = ("dollar", "Dollar", "dollars", "Dollars")
-GB_MONTH_UNITS = ("GB-Mo", "GB-month", "GB-mo", "GB-Month")
-HOUR_UNITS = ("Hrs", "hrs", "Hours", "hours", "hour", "Hour", "StreamHr", "KPU-Hour", "ACU-Hr", "vCPU-Hours", "LCU-Hrs",
-              "IdleLCU-Hr", "DPU-Hour", "Instance-hrs", "Hourly", "hourly", "ShardHour", "ConsumerShardHour",
-              "Accelerator-Hours", "NatGateway-Hours", "Rule-Hour")
-MINUTE_UNITS = ("minute", "minutes", "Minute", "Minutes")
-SECOND_UNITS = ("second", "seconds", "Second", "Seconds")
-REQUEST_UNITS = ("API Requests", "Requests", "Queries", "FunctionExecutions")
-REGION_PREFIX = "(US|ZA|SA|EU|AP|JP|CA|ME|IN|AU|NA)[EWNSC]?[0-9]?-.+"
-REGION_PREFIX_TAIL = "(?:US|ZA|SA|EU|AP|JP|CA|ME|IN|AU|NA)[EWNSC]?[0-9]?-(.+)"
-
-
 def pricing_unit(unit: Column, product_code: Column, family: Column, group: Column, operation_raw: Column,
                  line_type: Column, group_description: Column, resource_type: Column) -> Column:
-    """Normalised pricing unit. Arms are ordered most specific first; the order is the meaning."""
-    monthly_billed = group_description == "Billed by the month"
-    gb = unit == "GB"
-    return (
-        F.when(monthly_billed & (resource_type == "Software"), "Software-Month")
-        .when(monthly_billed & (resource_type == "Hardware"), "Hardware-Month")
-        .when(unit.isin(*MONTH_WORDS) & operation_raw.isin("GetLicense", "Subscription"), "Software-Month")
-        .when(family == "User Pool MAU", "User-Month")
-        .when(gb & product_code.isin(*INGEST_PRODUCTS), "GB-Processed")
-        .when(unit.isin(*GB_SECOND_UNITS), "GB-Second")
-        .when(unit.isin(*GB_HOUR_UNITS), "GB-Hour")
-        .when(unit == "Terabytes", "GB-Processed")
-        .when(gb & product_code.isin("AmazonS3", "AmazonEFS"), "GB-IO")
-        .when(gb & family.isin(*NETWORK_FAMILIES), "GB-Network")
-        .when(unit == "GigaBytes", "GB-Network")
-        .when((unit == "Month") & (group == "User"), "User-Month")
-        .when(unit == "Faces-Mo", "Face-Month")
-        .when(unit == "Tag-Mo", "Tag-Month")
-        .when((unit == "Mo") & (product_code == "AmazonRoute53"), "DNS-Month")
-        .when(unit == "Security Checks", "SecurityCheck-Month")
-        .when(unit == "vCPU-Months", "CPU-Month")
-        .when(unit.isin("User", "User-Mo"), "User-Month")
-        .when((unit == "Objects") & (product_code == "AmazonS3"), "Object-Month")
-        .when((line_type == "Fee") & unit.isin(*DOLLAR_UNITS) & product_code.like("%Support%"), "Support-Month")
-        .when(unit.isin(*GB_MONTH_UNITS), "GB-Month")
-        .when(unit.isin(*HOUR_UNITS), "Hour")
-        .when((unit == "Dashboards") & (operation_raw == "DashboardHour"), "Hour")
-        .when(unit.isin(*MINUTE_UNITS, *SECOND_UNITS), "Hour")
-        .when(unit.isin(*REQUEST_UNITS), "Request")
-        .when(unit.like("%Request"), "Request")
-        .when(unit.rlike(REGION_PREFIX), extract(unit, REGION_PREFIX_TAIL))
-        .otherwise(unit)
-    )
+    """Normalised pricing unit, by the built-in rules of ``units``."""
+    return units.case_of({"unit": unit, "product": product_code, "family": family, "group": group, "operation": operation_raw,
+                          "line_type": line_type, "group_description": group_description, "resource_type": resource_type})
 
 
 def usage_divisor(unit_orig: Column) -> Column:
     """Rescale seconds and minutes to hours, terabytes to gigabytes."""
     return (
-        F.when(unit_orig.isin(*SECOND_UNITS), F.lit(3600.0))
-        .when(unit_orig.isin(*MINUTE_UNITS), F.lit(60.0))
+        F.when(unit_orig.isin(*units.SECOND_UNITS), F.lit(3600.0))
+        .when(unit_orig.isin(*units.MINUTE_UNITS), F.lit(60.0))
         .when(unit_orig == "Terabytes", F.lit(0.0009765625))
         .otherwise(F.lit(1.0))
     )
@@ -217,6 +172,7 @@ def first_nonblank(*cols: Column) -> Column:
 
 # ---------------------------------------------------------------- compute
 
+# Fixed value: what is cut from an instance type.
 SPEC_NOISE = r"ml\.|\.search|db\.|cache\.|-Hosting|-Training|-TrainDebugFreeTier|-TrainDebug|-Notebook"
 
 

@@ -20,9 +20,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from costlake.functions import cleaning as fx
+from costlake.functions import units
 from costlake.functions.measures import dsum
+from costlake.session import ensure_checkpoint_dir
 from costlake.sources.contract import conform
-from costlake.sources.dims import small_side
+from costlake.sources.dims import Dim, small_side
 
 VERSION = "0.1.0"
 
@@ -63,7 +65,7 @@ def billable(cur: DataFrame) -> DataFrame:
 
 @functools.lru_cache(maxsize=64)
 def _line_columns(tags: tuple[tuple[str, str], ...], resource_tag_fallbacks: tuple[str, ...],
-                  hour_keys: tuple[str, ...]) -> tuple[Column, ...]:
+                  hour_keys: tuple[str, ...], looked_up: bool = False) -> tuple[Column, ...]:
     """The per-line projection of stage 00. Built once per parameter set: the expressions are
     unresolved trees over column names, so every query can reuse them (building one costs
     thousands of calls into the JVM)."""
@@ -90,9 +92,7 @@ def _line_columns(tags: tuple[tuple[str, str], ...], resource_tag_fallbacks: tup
         F.when(market, F.lit("Marketplace App")).otherwise(c("product_product_family")).alias("product_family"),
         F.when(market, c("product_product_name")).otherwise(c("product_group")).alias("product_group"),
         F.when(market, c("product_product_name")).otherwise(c("product_servicecode")).alias("product_servicecode"),
-        fx.pricing_unit(c("pricing_unit"), c("line_item_product_code"), c("product_product_family"), c("product_group"),
-                        c("line_item_operation"), line_type, c("product_group_description"),
-                        c("product_resource_type")).alias("pricing_unit"),
+        (c("clean_unit") if looked_up else units.case_of({f: c(src) for f, src in units.FIELDS.items()})).alias("pricing_unit"),
         c("pricing_unit").alias("pricing_unit_orig"),
         fx.pricing_regime(c("pricing_term"), line_type, c("discount_private_rate_discount")).alias("pricing_regime"),
         fx.first_nonblank(c("product_bundle_description"), c("product_description"), c("product_group_description"),
@@ -132,7 +132,7 @@ def _line_columns(tags: tuple[tuple[str, str], ...], resource_tag_fallbacks: tup
 
 def clean(cur: DataFrame, tags: Mapping[str, str] | None = None,
           resource_tag_fallbacks: Sequence[str] = (), grain: str = "day",
-          keep_units: DataFrame | None = None) -> DataFrame:
+          keep_units: DataFrame | None = None, unit_rules: DataFrame | None = None) -> DataFrame:
     """Stage 00 over raw CUR.
 
     ``tags`` maps output names to CUR tag columns that become extra dimensions (the
@@ -140,7 +140,9 @@ def clean(cur: DataFrame, tags: Mapping[str, str] | None = None,
     an instance or volume belongs to. ``grain="hour"`` adds an ``hour`` key
     (``yyyy-MM-dd HH``) for intraday analysis. ``keep_units`` (a small frame with a
     ``pricing_unit`` column, or a ``Dim``) keeps only lines with those cleaned units, before the
-    shuffle.
+    shuffle. ``unit_rules`` (a table of ``units.RULE_SCHEMA``) names the units instead of the
+    built-in rules: a first pass over eight columns makes the dictionary of combinations, cut off by a
+    checkpoint and counted, and the lines meet it by a broadcast that its size allows.
     """
     if grain not in ("day", "hour"):
         raise ValueError(f"grain must be 'day' or 'hour', not {grain!r}")
@@ -148,11 +150,15 @@ def clean(cur: DataFrame, tags: Mapping[str, str] | None = None,
     tags = dict(tags or {})
     tag_sources = list(dict.fromkeys(list(tags.values()) + list(resource_tag_fallbacks)))
     raw = billable(conform(cur, tag_sources))
-    cleaned = raw.select(*_line_columns(tuple(tags.items()), tuple(resource_tag_fallbacks), tuple(hour_keys)))
+    if unit_rules is not None:
+        ensure_checkpoint_dir(cur.sparkSession)
+        named = units.dictionary(raw, unit_rules).checkpoint()
+        raw = units.look_up(raw, Dim(named, named.count()).joinable())
+    cleaned = raw.select(*_line_columns(tuple(tags.items()), tuple(resource_tag_fallbacks), tuple(hour_keys), unit_rules is not None))
 
     if keep_units is not None:
-        units = small_side(keep_units).select("pricing_unit").distinct()
-        cleaned = cleaned.join(units, "pricing_unit", "left_semi")
+        kept = small_side(keep_units).select("pricing_unit").distinct()
+        cleaned = cleaned.join(kept, "pricing_unit", "left_semi")
 
     keys = LINE_KEYS + list(tags) + hour_keys
     aggs, out = _agg_and_output(tuple(tags), tuple(hour_keys))

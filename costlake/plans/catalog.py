@@ -9,10 +9,12 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from costlake.functions import units
 from costlake.operators import facts, recipes, views
 from costlake.operators.clean import clean
 from costlake.plans.pipeline import FIXTURE_TAGS, build_full, fixture_pipeline
@@ -47,6 +49,12 @@ def q_clean_lineitems(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _p(spark, sf_dir).stage00()
 
 
+def q_units_by_rule_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C8 with the unit rules as a table: dictionary of the lines' combinations, looked up."""
+    rules = local_table(spark, units.rule_rows(), T.StructType.fromDDL(units.RULE_SCHEMA))
+    return replace(_p(spark, sf_dir), unit_rules=rules).stage00()
+
+
 def q_enriched_lineitems(spark, sf_dir):
     return _p(spark, sf_dir).stage01()
 
@@ -246,6 +254,7 @@ def q_reconcile_invoices(spark, sf_dir):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_lineitems": q_clean_lineitems,
+    "units_by_rule_table": q_units_by_rule_table,
     "enriched_lineitems": q_enriched_lineitems,
     "source_months_back": q_source_months_back,
     "source_date_slice": q_source_date_slice,

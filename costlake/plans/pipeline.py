@@ -37,6 +37,7 @@ class Pipeline:
     grain: str = "day"
     buckets: tuple[str, ...] = ()
     resource_tags: tuple[str, ...] = ()      # tag columns naming an instance's group (C4)
+    unit_rules: DataFrame | None = None      # a site's own table of pricing-unit rules (C8)
 
     def __post_init__(self):
         if self.dims is None:
@@ -50,7 +51,7 @@ class Pipeline:
             units = Dim(self.dims.buckets.df.where(F.col("pricing_bucket").isin(*self.buckets)).select("pricing_unit"),
                         self.dims.buckets.rows)
         return clean(self.cur, self.tags, resource_tag_fallbacks=self.resource_tags, grain=self.grain,
-                     keep_units=units)
+                     keep_units=units, unit_rules=self.unit_rules)
 
     def only(self, *buckets: str) -> "Pipeline":
         """The same pipeline restricted to lines of the given pricing buckets."""

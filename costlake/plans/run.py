@@ -22,6 +22,7 @@ import json
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
+from costlake.functions import units
 from costlake.operators import facts, recipes, views
 from costlake.plans.pipeline import Pipeline, build_full, build_hourly, build_incremental
 from costlake.plans.sinks import read_table
@@ -105,6 +106,7 @@ def parse(argv=None) -> argparse.Namespace:
     ap.add_argument("--as-of", type=dt.date.fromisoformat, default=dt.datetime.now(dt.timezone.utc).date())
     ap.add_argument("--days", type=int, default=65, help="restated window (mode incremental)")
     ap.add_argument("--tag", action="append", default=[], metavar="OUT=COLUMN", help="extra tag dimension")
+    ap.add_argument("--unit-rules", help="a site's own pricing-unit rules: a Parquet or CSV file, without its ending")
     ap.add_argument("--out", help="output folder (mode view)")
     return ap.parse_args(argv)
 
@@ -124,7 +126,8 @@ def main(argv=None, spark: SparkSession | None = None) -> dict:
         if not getattr(args, option):
             raise SystemExit(f"--{option} is required for mode {args.mode}")
     tags = dict(t.split("=", 1) for t in args.tag)
-    p = Pipeline(spark, spark.read.parquet(args.cur), args.as_of, load_dims(spark, args.dims), tags)
+    p = Pipeline(spark, spark.read.parquet(args.cur), args.as_of, load_dims(spark, args.dims), tags,
+                 unit_rules=load_table(spark, args.unit_rules, T.StructType.fromDDL(units.RULE_SCHEMA)) if args.unit_rules else None)
     if args.mode == "full":
         return {"mode": "full", "as_of": args.as_of.isoformat(), **build_full(p, args.usage, args.bill, args.months_per_step)}
     if args.mode == "hours":

@@ -3,6 +3,7 @@
 import pytest
 
 from costlake.functions import cleaning as fx
+from costlake.functions import units
 from pyspark.sql import functions as F
 
 COLS = ["unit", "product", "family", "grp", "op", "ltype", "gdesc", "rtype"]
@@ -65,3 +66,34 @@ def test_order_ingest_before_io(spark):
 
 def test_fee_needs_support_product(spark):
     assert unit_of(spark, unit="Dollar", ltype="Fee", product="AmazonEC2") == "Dollar"
+
+
+def lines_of(spark, kws):
+    return spark.createDataFrame([tuple(kw.get(c) for c in COLS) for kw in kws], ", ".join(f"{units.FIELDS[f]} string" for f in FIELD_OF.values()))
+
+
+FIELD_OF = {"unit": "unit", "product": "product", "family": "family", "grp": "group", "op": "operation", "ltype": "line_type", "gdesc": "group_description", "rtype": "resource_type"}
+
+
+def test_rule_table_names_units_as_the_expression_does(spark):
+    """Every arm, and every pair of arms put together, by the dictionary and by the compiled rules."""
+    kws = [kw for kw, _ in ARMS] + [{**a, **b} for a, _ in ARMS for b, _ in ARMS]
+    lines = lines_of(spark, kws)
+    rules = spark.createDataFrame(units.rule_rows(), units.RULE_SCHEMA)
+    named = units.look_up(lines, units.dictionary(lines, rules))
+    case = units.case_of({f: F.col(c) for f, c in units.FIELDS.items()})
+    assert named.count() == len(kws)
+    assert named.where(~F.col("clean_unit").eqNullSafe(case)).count() == 0
+    plan = units.dictionary(lines, rules)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_a_site_s_own_rules(spark):
+    lines = lines_of(spark, [dict(unit="Hrs", product="X"), dict(unit="Hrs", product="Y"), dict(unit="Widget-Request"), dict(unit="US-Foo"), dict(unit=None, family="F"), dict(unit="")])
+    own = {f: None for f in [*units.FIELDS, *units.LIKE]}
+    row = lambda n, result, **kw: (n, result, *{**own, **kw}.values())
+    rules = spark.createDataFrame([row(5, "H", unit="Hrs"), row(2, "XH", unit="Hrs", product="X"), row(9, "R", unit_like="%Request"), row(1, "fam", family="F"), row(2, "XI", unit="Hrs", product="X")], units.RULE_SCHEMA)
+    got = {(r["pricing_unit"], r["line_item_product_code"]): r["clean_unit"] for r in units.dictionary(lines, rules).collect()}
+    assert got == {("Hrs", "X"): "XH", ("Hrs", "Y"): "H", ("Widget-Request", None): "R", ("US-Foo", None): "Foo", (None, None): "fam", ("", None): ""}
+    assert units.dictionary(lines.limit(0), rules).count() == 0
+    assert {r["clean_unit"] for r in units.dictionary(lines, rules.limit(0)).collect()} == {"Hrs", "Widget-Request", "Foo", None, ""}
