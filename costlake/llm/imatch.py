@@ -10,7 +10,8 @@ levels from the one that leaves about a term for each subset.
 
 from __future__ import annotations
 
-import numpy as np
+import json
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,8 +19,6 @@ from costlake.llm.common import table, task_count, texts
 
 BAND = (0.005, 0.25)
 SUBSETS, LEVELS = 32, 3
-#: Bits of the lexicon's table, as a power of two.
-TABLE = 19
 NOT_TERM = r"[^\p{L}\p{N}]+"
 #: What a subset without terms shows.
 NONE = "-"
@@ -32,24 +31,30 @@ def terms(text: Column) -> Column:
 
 
 def lexicon(docs: DataFrame, text: str = "text") -> list[int]:
-    """The bit table of terms in the band, as 64-bit integers. Counted over all documents; the terms found are bounded (see above)."""
+    """Hashes of the terms in the band. Counted over all documents; the terms found are bounded (see above)."""
     held = docs.select(F.explode(terms(F.coalesce(F.col(text), F.lit("")))).alias("h"))
     n = docs.count()
     low, high = max(1.0, BAND[0] * n), max(1.0, BAND[1] * n)
-    spots = held.groupBy("h").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df").between(low, high)).select(F.pmod("h", F.lit(1 << TABLE)).cast("int").alias("spot")).distinct()
-    bits = np.zeros(1 << TABLE, dtype=np.uint8)
-    bits[[r["spot"] for r in spots.collect()]] = 1
-    return np.packbits(bits.reshape(-1, 64), axis=1, bitorder="little").view("<i8").ravel().tolist()
+    inside = held.groupBy("h").agg(F.count(F.lit(1)).alias("df")).filter(F.col("df").between(low, high))
+    return sorted(r["h"] for r in inside.select("h").collect())
+
+
+def _table(values: list) -> Column:
+    kind = "array<array<bigint>>" if values and isinstance(values[0], list) else "array<bigint>"
+    return F.from_json(F.lit(json.dumps(values, separators=(",", ":"))), kind)
 
 
-def _table(words: list[int]) -> Column:
-    return F.from_json(F.lit("[" + ",".join(map(str, words)) + "]"), "array<bigint>")
+def slots(hashes: list[int]) -> list[list[int]]:
+    """The hashes dealt into as many slots, at least one."""
+    out: list[list[int]] = [[] for _ in range(max(1, len(hashes)))]
+    for h in hashes:
+        out[h % len(out)].append(h)
+    return out
 
 
-def sketch(text: Column, lex: Column) -> Column:
-    """struct(level, cells): for each of LEVELS levels from ``level``, a hash for each subset. A text without lexicon terms uses all its terms."""
-    spot = lambda h: F.pmod(h, F.lit(1 << TABLE)).cast("int")
-    listed = lambda h: F.getbit(F.get(lex, F.shiftright(spot(h), 6)), spot(h).bitwiseAND(63)) == 1
+def sketch(text: Column, lex: list[list[int]]) -> Column:
+    """struct(level, cells): for each of LEVELS levels from ``level``, a hash for each subset. A text without lexicon terms uses all its terms. ``lex``: the lexicon's slots."""
+    listed = lambda h: F.array_contains(F.get(_table(lex), F.pmod(h, F.lit(len(lex))).cast("int")), h)
     subset = lambda h: F.pmod(F.shiftright(h, 24), F.lit(SUBSETS))
     deep = lambda h, n: F.pmod(F.shiftright(h, 32), n) == 0
 
@@ -114,7 +119,7 @@ def compare(docs: DataFrame) -> DataFrame:
     of the next document's. A null text is empty. One document alone is its own next. Repeated
     rows stay, each with its next in order.
     """
-    lex = _table(lexicon(texts(docs)))
+    lex = slots(lexicon(texts(docs)))
     half = F.floor(F.length("text") / 2).cast("int")
     rows = with_next(docs).withColumn("edited", F.concat(F.substring("text", F.lit(1), F.length("text") - half), F.substring(F.coalesce("next_text", F.lit("")), F.lit(1), half)))
     rows = rows.select("bucket", "edge", "doc_id", "h", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited"), 256).alias("edited_sha256"), sketch(F.col("text"), lex).alias("own"), sketch(F.col("edited"), lex).alias("changed"))

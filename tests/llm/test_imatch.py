@@ -1,7 +1,12 @@
 """Edited texts against plain Python; fingerprints of equal, near and unlike texts."""
 
 import hashlib
+import math
 import random
+import struct
+
+import regex
+import xxhash
 
 from costlake.llm import imatch
 
@@ -48,3 +53,71 @@ def test_edges(spark):
 
 def test_empty_table(spark):
     assert imatch.compare(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def signed(x):
+    return x - (1 << 64) if x >> 63 else x
+
+
+def term_hashes(text):
+    words = dict.fromkeys(w for w in regex.split(r"[^\p{L}\p{N}]+", text.lower()) if w)
+    return [signed(xxhash.xxh64(w.encode(), seed=42).intdigest()) for w in words]
+
+
+def cell(few):
+    """Spark chains an array's elements: each is hashed with the hash before it as seed."""
+    h = 42
+    for x in few:
+        h = xxhash.xxh64(struct.pack("<q", x), seed=h).intdigest()
+    return f"{h:X}"[-6:] if few else imatch.NONE
+
+
+def brute_sketch(text, lexicon):
+    terms = term_hashes(text)
+    kept = sorted([h for h in terms if h in lexicon] or terms)
+    level = max(0, math.floor(math.log2(max(len(kept), 1) / imatch.SUBSETS)))
+    at = lambda n: [h for h in kept if (h >> 32) % 2**n == 0]
+    return level, [cell([h for h in at(level + d) if (h >> 24) % imatch.SUBSETS == g]) for d in range(imatch.LEVELS) for g in range(imatch.SUBSETS)]
+
+
+def brute_likeness(a, b):
+    if a == b:
+        return 1.0
+    n = imatch.SUBSETS
+    cells = lambda s: {(s[0] + i // n, i % n): c for i, c in enumerate(s[1])}
+    x, y = cells(a), cells(b)
+    both = [k for k in x if k in y]
+    used = [k for k in both if x[k] != imatch.NONE or y[k] != imatch.NONE]
+    return sum(x[k] == y[k] for k in used) / len(used) if used else 0.0
+
+
+def test_fingerprints_and_likeness_against_plain_python(spark):
+    rows = sorted((r["doc_id"], r["text"] or "") for r in spark.read.parquet(f"{SF}/documents.parquet").collect())
+    held = {}
+    for _, t in rows:
+        for h in term_hashes(t):
+            held[h] = held.get(h, 0) + 1
+    n = len(rows)
+    lexicon = {h for h, k in held.items() if max(1.0, imatch.BAND[0] * n) <= k <= max(1.0, imatch.BAND[1] * n)}
+    assert set(imatch.lexicon(spark.read.parquet(f"{SF}/documents.parquet"))) == lexicon and 0 < len(lexicon) < len(held)
+    shown = lambda s: f"{s[0]}:" + ".".join(s[1])
+    own = [brute_sketch(t, lexicon) for _, t in rows]
+    got = {r["doc_id"]: r for r in imatch.op7(spark, SF).collect()}
+    for i, (d, t) in enumerate(rows):
+        u, half = rows[(i + 1) % n][1], len(t) // 2
+        changed = brute_sketch(t[: len(t) - half] + u[:half], lexicon)
+        r = got[d]
+        assert (r["fingerprint"], r["edited_fingerprint"]) == (shown(own[i]), shown(changed))
+        assert abs(r["near_edited"] - brute_likeness(own[i], changed)) < 1e-12 and abs(r["near_next"] - brute_likeness(own[i], own[(i + 1) % n])) < 1e-12
+
+
+def test_terms_outside_the_band_never_pass(spark):
+    inside = [7, -9, 2**62, 5]
+    lex = imatch.slots(inside)
+    assert sorted(h for s in lex for h in s) == sorted(inside) and len(lex) == 4 and imatch.slots([]) == [[]]
+    near = [7 + 4 * k for k in range(1, 200)] + [-9 - 4 * k for k in range(1, 200)]   # the same slots
+    df = spark.createDataFrame([(h,) for h in inside + near], "h long")
+    from pyspark.sql import functions as F
+
+    listed = F.array_contains(F.get(imatch._table(lex), F.pmod("h", F.lit(len(lex))).cast("int")), F.col("h"))
+    assert sorted(r["h"] for r in df.filter(listed).collect()) == sorted(inside)
