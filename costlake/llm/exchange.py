@@ -50,6 +50,15 @@ def packed_texts(rows: DataFrame, groups: int) -> DataFrame:
     return rows.select("doc_id", "text").mapInArrow(run, SCHEMA)
 
 
+def packed_batch(held: list[tuple[int, bytes]]) -> bytes:
+    """Texts as kind 0 holds them, from (id or NO_ID, UTF-8 text)."""
+    part = pa.record_batch([pa.array([None if d == NO_ID else d for d, _ in held], pa.int64()), pa.array([t for _, t in held], pa.large_binary())], names=["doc_id", "text"])
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, part.schema) as w:
+        w.write_batch(part)
+    return zstandard.ZstdCompressor(level=1).compress(sink.getvalue().to_pybytes())
+
+
 def unpacked(group: pa.Table) -> Iterator[tuple[int, bytes]]:
     """(id or NO_ID, UTF-8 text) of the texts in a group, in no order."""
     unzip = zstandard.ZstdDecompressor()
