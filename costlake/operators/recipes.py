@@ -182,7 +182,7 @@ def _compute_hours(hours: DataFrame, since: str | None) -> DataFrame:
 
 
 def hourly_usage(hours: DataFrame, since: str | None = None) -> DataFrame:
-    """Instance-hours and vCPU-hours of compute per hour and product, from the hour fact (days ``since`` or later)."""
+    """Instance-hours and vCPU-hours of compute per hour and product, from stage 01 by hours or the hour fact (days ``since`` or later, if given)."""
     return (_compute_hours(hours, since)
             .groupBy("hour", "product_code")
             .agg(dsum("usage").alias("instance_hours"),

@@ -209,7 +209,8 @@ def q_usage_from_hours(spark, sf_dir):
 
 
 def q_hourly_usage(spark, sf_dir):
-    return recipes.hourly_usage(_p(spark, sf_dir, grain="hour").only("Compute").usage_hourly())
+    """G11 over all hours and line types, not only those that the hour fact keeps."""
+    return recipes.hourly_usage(_p(spark, sf_dir, grain="hour").only("Compute").stage01())
 
 
 def q_cost_ma7(spark, sf_dir):

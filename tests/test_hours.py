@@ -57,3 +57,13 @@ def test_base_load_counts_hours_without_rows(spark):
     assert abs(sep["avg_peak_hourly_cost"] - (33 + 5 + 8) / 30) < 1e-9
     assert nov["days"] == 4 and nov["base_load_hourly_cost"] == 0 and nov["avg_peak_hourly_cost"] == 1.0
     assert recipes.base_load(df.limit(0), AS_OF, "2001-09-01").count() == 0
+
+
+def test_hourly_usage_takes_all_hours_and_line_types(spark):
+    from costlake.plans.catalog import QUERIES
+
+    hours = fixture_pipeline(spark, SF_SMALL, grain="hour").only("Compute").stage01()
+    got = QUERIES["hourly_usage"](spark, SF_SMALL)
+    assert got.agg(F.min("hour")).first()[0] < SINCE
+    want = hours.where(F.col("pricing_bucket") == "Compute").select("hour", "product_code").distinct()
+    assert rows(got, ["hour", "product_code"]) == rows(want, ["hour", "product_code"])
