@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from costlake.functions.cleaning import iso_date, iso_month, nonblank
@@ -190,20 +190,23 @@ def hourly_usage(hours: DataFrame, since: str | None = None) -> DataFrame:
                  dsum("cost").alias("cost")))
 
 
-def hour_spine(spark: SparkSession, since: str, until: dt.date) -> DataFrame:
+def hour_spine(spark: SparkSession, since: str | Column, until: dt.date) -> DataFrame:
     """(date, hour) of every hour of the days ``since`` .. ``until``: 24 rows a day, made by Spark."""
-    days = F.explode(F.sequence(F.lit(since).cast("date"), F.lit(until))).alias("day")
+    first = F.lit(since).cast("date")
+    days = F.explode(F.when(first <= F.lit(until), F.sequence(first, F.lit(until)))).alias("day")
     return (spark.range(1).select(days).select(F.col("day").cast("string").alias("date"), F.explode(F.sequence(F.lit(0), F.lit(23))).alias("h"))
             .select("date", F.concat("date", F.lit(" "), F.lpad(F.col("h").cast("string"), 2, "0")).alias("hour")))
 
 
-def base_load(hours: DataFrame, as_of: dt.date, since: str) -> DataFrame:
-    """Savings-plan base load: per month, the mean over days of the cheapest compute hour, from the hour fact.
+def base_load(hours: DataFrame, as_of: dt.date, since: str | None = None) -> DataFrame:
+    """Savings-plan base load: per month, the mean over days of the cheapest compute hour, from stage 01 by hours or the hour fact.
 
-    Every hour from ``since`` to ``as_of`` counts, by a calendar spine: an hour without compute
-    rows costs 0. Months without any are left out.
+    Every hour from ``since`` (else the first month that has any) to ``as_of`` counts, by a
+    calendar spine: an hour without compute rows costs 0. Months without any are left out.
     """
     hourly = _compute_hours(hours, since).groupBy("date", "hour").agg(dsum("cost").alias("cost"))
+    if since is None:
+        since = F.trunc(hourly.where(F.col("date").isNotNull()).select(F.min(F.struct("date", "cost")).getField("date")).scalar().cast("date"), "MM")
     filled = hour_spine(hours.sparkSession, since, as_of).join(hourly, ["date", "hour"], "left")
     cost = F.coalesce("cost", F.lit(0.0))
     daily = filled.groupBy("date").agg(F.min(cost).alias("low_hour"), F.max(cost).alias("peak_hour"), F.count("cost").alias("busy"))

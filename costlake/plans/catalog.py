@@ -218,8 +218,8 @@ def q_cost_ma7(spark, sf_dir):
 
 
 def q_base_load(spark, sf_dir):
-    hours = _p(spark, sf_dir, grain="hour").only("Compute").usage_hourly()
-    return recipes.base_load(hours, AS_OF, facts.hour_start(AS_OF))
+    """G13 over all months and line types, not only those that the hour fact keeps."""
+    return recipes.base_load(_p(spark, sf_dir, grain="hour").only("Compute").stage01(), AS_OF)
 
 
 def q_growth_alerts(spark, sf_dir):

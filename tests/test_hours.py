@@ -67,3 +67,24 @@ def test_hourly_usage_takes_all_hours_and_line_types(spark):
     assert got.agg(F.min("hour")).first()[0] < SINCE
     want = hours.where(F.col("pricing_bucket") == "Compute").select("hour", "product_code").distinct()
     assert rows(got, ["hour", "product_code"]) == rows(want, ["hour", "product_code"])
+
+
+def test_base_load_takes_all_months_and_line_types(spark):
+    from costlake.plans.catalog import QUERIES
+
+    hours = fixture_pipeline(spark, SF_SMALL, grain="hour").only("Compute").stage01()
+    months = {r[0] for r in hours.where(F.col("pricing_bucket") == "Compute").select("date_month").distinct().collect()}
+    got = QUERIES["base_load"](spark, SF_SMALL)
+    assert {r["date_month"] for r in got.collect()} == months and min(months) < SINCE[:7]
+    # its window is a scalar of the hours' own shuffle: the lines are read once
+    assert got._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].count("Scan parquet") == 1
+
+
+def test_base_load_without_a_window_starts_with_its_first_month(spark):
+    at = lambda d, h, cost: (d, f"{d} {h:02d}", float(cost), "Compute")
+    data = [at("1997-02-27", h, 28) for h in range(24)] + [at("2001-11-02", 0, 4), (None, None, 1.0, "Compute")]
+    df = spark.createDataFrame(data, "date string, hour string, cost double, pricing_bucket string")
+    got = {r["date_month"]: r for r in recipes.base_load(df, AS_OF).collect()}
+    assert {m: r["days"] for m, r in got.items()} == {"1997-02": 28, "2001-11": 4}
+    assert got["1997-02"]["base_load_hourly_cost"] == 1.0 and got["2001-11"]["avg_peak_hourly_cost"] == 1.0
+    assert recipes.base_load(df.limit(0), AS_OF).count() == 0
