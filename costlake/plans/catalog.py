@@ -37,7 +37,7 @@ def _schema(*names: str) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType()) for n in names])
 
 
-#: Parts in which the test lines are read: the files a real drop would have.
+#: Parts in which the test lines are read, at least: the files a real drop would have.
 CUR_PARTS = 16
 
 

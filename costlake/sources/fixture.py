@@ -172,14 +172,21 @@ def _dec(value: str, ty: str) -> Column:
     return F.lit(value).cast(ty)
 
 
+#: Lines of a part, about: what one task cleans and folds without spilling.
+PART_ROWS = 250_000
+
+
 def cur_from_lineitem(spark: SparkSession, sf_dir: str, as_of: dt.date = AS_OF, partitions: int | None = None) -> DataFrame:
     """Raw CUR lines, one per lineitem row.
 
     The test file has one row group, so one task would read all of it. A caller that wants the
     lines in parts, as a drop of many files has them, gives ``partitions``: the eight narrow
-    columns are then dealt out by the lines' own numbers before they become CUR lines.
+    columns are then dealt out by the lines' own numbers before they become CUR lines, in that
+    many parts or as many more as keep a part at PART_ROWS lines (counted from the file's footers).
     """
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    if partitions is not None:
+        partitions = max(partitions, -(-li.count() // PART_ROWS))
     return cur_from_lineitem_df(spark, li, as_of, partitions)
 
 

@@ -81,3 +81,14 @@ def test_unit_cost_keeps_cost_without_transactions(spark):
     log = spark.createDataFrame([("2001-10-01", "s1", 2)], "date string, service string, transactions long")
     got = {r.service: (r.cost, r.cost_per_transaction) for r in recipes.unit_cost(fact, log).collect()}
     assert got == {"s1": (3.0, 1.5), "s2": (5.0, None)}
+
+
+def test_fixture_parts_grow_with_the_lines(spark, monkeypatch):
+    """A part is what one task folds: on larger tables there are more of them, not larger ones."""
+    from costlake.sources import fixture
+
+    want = fixture.cur_from_lineitem(spark, SF_SMALL).count()
+    assert fixture.cur_from_lineitem(spark, SF_SMALL, partitions=2).rdd.getNumPartitions() == 2
+    monkeypatch.setattr(fixture, "PART_ROWS", 1000)
+    cur = fixture.cur_from_lineitem(spark, SF_SMALL, partitions=2)
+    assert cur.rdd.getNumPartitions() == -(-want // 1000) and cur.count() == want
