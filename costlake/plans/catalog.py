@@ -19,7 +19,7 @@ from costlake.operators import facts, recipes, views
 from costlake.operators.clean import clean
 from costlake.plans.pipeline import FIXTURE_TAGS, build_full, fixture_pipeline
 from costlake.plans.sinks import full_load, read_table, restate
-from costlake.session import ensure_checkpoint_dir
+from costlake.session import ensure_checkpoint_dir, use_jit_limit
 from costlake.sources.contract import date_slice, months_back
 from costlake.sources.fixture import AS_OF, cur_from_lineitem, edited_cur
 from costlake.sources.dims import Dim
@@ -42,6 +42,7 @@ CUR_PARTS = 16
 
 
 def _p(spark, sf_dir, **kw):
+    use_jit_limit(spark)
     return fixture_pipeline(spark, sf_dir, partitions=CUR_PARTS, **kw)
 
 

@@ -92,3 +92,17 @@ def test_fixture_parts_grow_with_the_lines(spark, monkeypatch):
     monkeypatch.setattr(fixture, "PART_ROWS", 1000)
     cur = fixture.cur_from_lineitem(spark, SF_SMALL, partitions=2)
     assert cur.rdd.getNumPartitions() == -(-want // 1000) and cur.count() == want
+
+
+def test_queries_bring_the_jit_limit_to_a_plain_session(spark):
+    from costlake.plans.catalog import QUERIES
+
+    name = "spark.sql.codegen.hugeMethodLimit"
+    ours = spark.conf.get(name)
+    try:
+        for given, want in (("65535", ours), ("20000", "20000")):      # a caller's own limit stays
+            spark.conf.set(name, given)
+            QUERIES["clean_lineitems"](spark, SF_SMALL)
+            assert spark.conf.get(name) == want
+    finally:
+        spark.conf.set(name, ours)
